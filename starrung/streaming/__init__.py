@@ -1,0 +1 @@
+"""Empty on purpose: ratings are read whole, there is no stream operator to offer."""
