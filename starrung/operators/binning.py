@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil, log2
 from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
@@ -79,10 +80,17 @@ def assign_bins(value: Column, breaks: Sequence[float]) -> Column:
     return F.when(value.isNotNull(), reduce(add, above, F.lit(1)))
 
 
-def histogram(ws: Workspace, df: DataFrame, value: Column, bins: int, weight: Column | None = None) -> DataFrame:
-    """Rows per equal-width bin: ``bin, lower, upper, count``, empty bins included."""
+def histogram(
+    ws: Workspace, df: DataFrame, value: Column, bins: int | None = None, weight: Column | None = None
+) -> DataFrame:
+    """Rows per equal-width bin: ``bin, lower, upper, count``, empty bins included.
+
+    Without ``bins`` their number follows Sturges' rule, ceil(log2(rows) + 1).
+    """
     counts = value_counts(ws, df, value, weight).df
-    low, high = counts.agg(F.min("value"), F.max("value")).first()
+    low, high, rows = counts.agg(F.min("value"), F.max("value"), F.sum("n")).first()
+    if bins is None:
+        bins = ceil(log2(rows or 1) + 1)
     width = ((high - low) / bins or 1.0) if low is not None else 1.0
     low = 0.0 if low is None else low
     index = F.least(F.lit(bins - 1), F.floor((F.col("value") - F.lit(low)) / F.lit(width)))

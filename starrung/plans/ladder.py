@@ -10,8 +10,8 @@ scored ratings once for all models together.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass, replace
+from functools import cached_property, reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,9 +102,12 @@ class EffectLadder:
     def features(self, items: DataFrame) -> DataFrame:
         return item_features(items, self.vocabulary, self.as_of_year, self.match)
 
-    def fit(self, ws: Workspace, ratings: DataFrame, items: DataFrame) -> LadderModel:
-        """Fit all effects on ``user_id, item_id, rating, ts`` and ``item_id, title, genres``."""
+    def fit(
+        self, ws: Workspace, ratings: DataFrame, items: DataFrame, models: Sequence[str] = tuple(MODELS)
+    ) -> LadderModel:
+        """Fit the effects of ``models`` on ``user_id, item_id, rating, ts`` and ``item_id, title, genres``."""
         rows = _narrow(ratings)
+        wanted = {name for model in models for name in MODELS[model]}
 
         per_item = ws.keep(
             rows.groupBy("item_id").agg(
@@ -119,7 +122,10 @@ class EffectLadder:
         by_item = per_item.df.select(
             "item_id", (F.col("total") / F.col("n") - F.lit(mean)).alias("effect_item"), "n"
         )
-        item = Kept(by_item, per_item.rows, per_item.bytes, per_item.path)
+        item = replace(per_item, df=by_item)
+        model = LadderModel(self, mean, {"item": item})
+        if wanted <= {"item"}:
+            return model
 
         off_item = F.col("rating") - F.lit(mean) - _effect("item")
         user = ws.keep(
@@ -128,6 +134,9 @@ class EffectLadder:
             .agg(F.avg(off_item).alias("effect_user"), F.count(F.lit(1)).alias("n")),
             "effect-user",
         )
+        model = replace(model, effects={**model.effects, "user": user})
+        if wanted <= {"item", "user"}:
+            return model
 
         off_user = F.col("rating") - F.lit(mean) - _effect("user")
         sums = (
@@ -146,18 +155,20 @@ class EffectLadder:
             cells.groupBy("profile").agg(F.sum("total").alias("total"), F.sum("n").alias("n")), "profiles"
         ).df
         labels = ws.keep(label_effects(profiles, self.vocabulary), "effect-label")
-        score = label_score(F.col("profile"), _label_values(labels.df), len(self.vocabulary))
-        breaks = quantile_breaks(ws, profiles, score, self.bins, weight=F.col("n"))
+        model = replace(model, labels=labels)
+        breaks = quantile_breaks(ws, profiles, model.score(), self.bins, weight=F.col("n"))
 
-        effects = {"item": item, "user": user}
+        effects = dict(model.effects)
         keys = [rung.key for rung in RUNGS]
         left = ws.keep(
-            cells.withColumn("group", assign_bins(score, breaks))
+            cells.withColumn("group", assign_bins(model.score(), breaks))
             .groupBy(*keys)
             .agg(F.sum("total").alias("total"), F.sum("n").alias("n")),
             "residuals",
         ).df
         for rung in RUNGS:
+            if rung.name not in wanted:
+                continue
             earlier = _sum(_effect(name) for name in rung.after if name not in ("item", "user"))
             residual = F.col("total") - F.col("n") * earlier
             effects[rung.name] = ws.keep(
@@ -165,7 +176,7 @@ class EffectLadder:
             )
             if any(rung.name in later.after for later in RUNGS):
                 left = apply_effect(left, effects[rung.name], rung.key)
-        return LadderModel(self, mean, effects, labels, breaks)
+        return replace(model, effects=effects, breaks=breaks)
 
     def _item_table(self, ws: Workspace, item: Kept, items: DataFrame) -> Kept:
         """Rated items with their effect and features; items that are not listed have NULL features."""
@@ -173,11 +184,6 @@ class EffectLadder:
         return ws.keep(listed, "items")
 
 
-def _label_values(labels: DataFrame) -> dict[tuple[int, int | None], float]:
-    """Label effects as numbers: three per label at most, fixed before any score is computed."""
-    return {(row.position, row.flag): row.effect for row in labels.collect()}
-
-
 @dataclass(frozen=True)
 class LadderModel:
     """A fitted ladder: the mean, one table per effect, label effects and score breaks."""
@@ -185,16 +191,17 @@ class LadderModel:
     ladder: EffectLadder
     mean: float
     effects: dict[str, Kept]
-    labels: Kept
-    breaks: list[float]
-    _label_values: dict = field(init=False, repr=False, compare=False)
+    labels: Kept | None = None
+    breaks: list[float] | None = None
 
-    def __post_init__(self):
-        object.__setattr__(self, "_label_values", _label_values(self.labels.df))
+    @cached_property
+    def label_values(self) -> dict[tuple[int, int | None], float]:
+        """Label effects as numbers: three per label at most, fixed before any score is computed."""
+        return {(row.position, row.flag): row.effect for row in self.labels.df.collect()}
 
     def score(self) -> Column:
         """Label score of a ``profile`` column."""
-        return label_score(F.col("profile"), self._label_values, len(self.ladder.vocabulary))
+        return label_score(F.col("profile"), self.label_values, len(self.ladder.vocabulary))
 
     def _group(self, ws: Workspace, weighted: DataFrame) -> Column:
         """Bin of the score; with independent binning ``weighted`` (profile, n) supplies the breaks."""
@@ -207,14 +214,24 @@ class LadderModel:
         """Features and label score per listed item."""
         return self.ladder.features(items).withColumn("genre_score", self.score())
 
+    def item_groups(self, ws: Workspace, ratings: DataFrame, items: DataFrame) -> DataFrame:
+        """``item_id, n, genre_score, group`` and the features of every item in ``ratings``."""
+        table = self._rated_items(ws, ratings, items).df
+        group = self._group(ws, table.select("profile", "n"))
+        return table.select("*", self.score().alias("genre_score"), group.alias("group"))
+
+    def _rated_items(self, ws: Workspace, ratings: DataFrame, items: DataFrame) -> Kept:
+        """Items of ``ratings`` with their number of rows ``n`` and features."""
+        counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+        return ws.keep(lookup(counts, self.ladder.features(items), ["item_id"], balanced=True), "rated-items")
+
     def transform(
         self, ws: Workspace, ratings: DataFrame, items: DataFrame, model: str = "8", output: str = "prediction"
     ) -> DataFrame:
         """``ratings`` with its effects and the prediction of a model; NULL where an effect is unknown."""
         names = MODELS[model]
-        counts = ws.keep(ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")), "item-counts")
-        listed = lookup(counts.df, self.ladder.features(items), ["item_id"], balanced=True)
-        table = ws.keep(lookup(listed, _without_n(self.effects["item"]), ["item_id"], balanced=True), "items").df
+        rated = self._rated_items(ws, ratings, items).df
+        table = lookup(rated, _without_n(self.effects["item"]), ["item_id"], balanced=True)
         if "group" in names:
             table = table.withColumn("group", self._group(ws, table.select("profile", "n")))
         for rung in RUNGS:
@@ -226,7 +243,7 @@ class LadderModel:
         scored = ratings.withColumn("year_stamp", rating_year(F.col("ts")))
         if from_item:
             scored = lookup(
-                scored, terms, ["item_id"], heavy=lambda: heavy_keys(counts.df, ["item_id"], weight=F.col("n"))
+                scored, terms, ["item_id"], heavy=lambda: heavy_keys(rated, ["item_id"], weight=F.col("n"))
             )
             if not is_small(terms):
                 scored = ws.keep(scored, "with-items").df
@@ -253,9 +270,10 @@ class LadderModel:
         ratings that share all later effects.
         """
         check_na(na)
-        cells = self._error_cells(ws, _narrow(ratings), items)
-        cells = cells.withColumn("group", self._group(ws, cells.select("profile", "n")))
         needed = {name for model in models for name in MODELS[model]}
+        cells = self._error_cells(ws, _narrow(ratings), items, needed)
+        if "group" in needed:
+            cells = cells.withColumn("group", self._group(ws, cells.select("profile", "n")))
         for rung in RUNGS:
             if rung.name in needed:
                 cells = apply_effect(cells, self.effects[rung.name], rung.key)
@@ -283,34 +301,37 @@ class LadderModel:
             )
         return wide.select(F.inline(F.array(*rows)))
 
-    def _error_cells(self, ws: Workspace, rows: DataFrame, items: DataFrame) -> DataFrame:
+    def _error_cells(self, ws: Workspace, rows: DataFrame, items: DataFrame, needed: set[str]) -> DataFrame:
         """Residual moments after the mean (1), the item (2) and the user (3) effect, per feature combination."""
-        first, third = F.col("rating") - F.lit(self.mean), F.col("rating") - F.lit(self.mean) - _effect("user")
-        per_item = (
-            apply_effect(rows, self.effects["user"], "user_id")
-            .groupBy("item_id", "year_stamp")
-            .agg(F.count(F.lit(1)).alias("n"), *_moments("1", first), *_moments("3", third))
-        )
+        residual = F.col("rating") - F.lit(self.mean)
+        moments = [F.count(F.lit(1)).alias("n"), *_moments("1", residual)]
+        if "user" in needed:
+            rows = apply_effect(rows, self.effects["user"], "user_id")
+            moments += _moments("3", residual - _effect("user"))
+        per_item = rows.groupBy("item_id", "year_stamp").agg(*moments)
         listed = lookup(per_item, self.ladder.features(items), ["item_id"], balanced=True)
         with_item = lookup(listed, _without_n(self.effects["item"]), ["item_id"], balanced=True)
-        sums = [F.sum(c).alias(c) for c in ("n", "n1", "s1", "q1")]
-        sums += _shifted("1", "2", _effect("item")) + _shifted("3", "3", _effect("item"))
+        sums = [F.sum(c).alias(c) for c in ("n", "n1", "s1", "q1")] + _shifted("1", "2", _effect("item"))
+        if "user" in needed:
+            sums += _shifted("3", "3", _effect("item"))
         return ws.keep(with_item.groupBy(*_FEATURES).agg(*sums), "error-cells").df
 
     def save(self, path: str) -> None:
         """Write the model below ``path`` as Parquet tables."""
         for name, table in self.effects.items():
             table.df.write.parquet(f"{path}/effect-{name}")
-        self.labels.df.write.parquet(f"{path}/effect-label")
-        spark = self.labels.df.sparkSession
+        if self.labels:
+            self.labels.df.write.parquet(f"{path}/effect-label")
+        spark = self.effects["item"].df.sparkSession
         ladder = self.ladder
         settings = (
-            self.mean, self.breaks, ladder.as_of_year, list(ladder.vocabulary), ladder.match, ladder.bins, ladder.binning
+            self.mean, self.breaks, ladder.as_of_year, list(ladder.vocabulary), ladder.match, ladder.bins,
+            ladder.binning, list(self.effects), self.labels is not None,
         )
         spark.createDataFrame(
             [settings],
             "mean double, breaks array<double>, as_of_year int, vocabulary array<string>,"
-            " match string, bins int, binning string",
+            " match string, bins int, binning string, effects array<string>, labelled boolean",
         ).write.parquet(f"{path}/settings")
 
     @classmethod
@@ -322,12 +343,13 @@ class LadderModel:
             df = spark.read.parquet(f"{path}/effect-{name}")
             return Kept(df, df.count(), measured_bytes(df), f"{path}/effect-{name}")
 
-        effects = {name: table(name) for name in ("item", "user", *[rung.name for rung in RUNGS])}
-        return cls(ladder, s.mean, effects, table("label"), list(s.breaks))
+        effects = {name: table(name) for name in s.effects}
+        breaks = None if s.breaks is None else list(s.breaks)
+        return cls(ladder, s.mean, effects, table("label") if s.labelled else None, breaks)
 
 
 def _without_n(effect: Kept) -> Kept:
-    return Kept(effect.df.drop("n"), effect.rows, effect.bytes, effect.path)
+    return replace(effect, df=effect.df.drop("n"))
 
 
 def _moments(level: str, residual: Column) -> list[Column]:

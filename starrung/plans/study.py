@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.operators.split import Split, quartile_stratum, split_and_repair
-from starrung.plans.ladder import EffectLadder, LadderModel
+from starrung.plans.ladder import COMPARED, MODELS, EffectLadder, LadderModel
 from starrung.sources.star import VIEW_LABELS, items_of, joined, ratings_of
 from starrung.workspace import Workspace
 
@@ -66,23 +67,28 @@ class Study:
 
     @cached_property
     def model(self) -> LadderModel:
-        return self.ladder.fit(self.ws, self.inner.train, self.items)
+        """All effects, fitted on train."""
+        return self.fit(tuple(MODELS))
 
-    @cached_property
-    def final_model(self) -> LadderModel:
-        """The ladder fitted again on everything but the final hold-out."""
-        return self.ladder.fit(self.ws, self.outer.train, self.items)
+    def fit(self, models: Sequence[str]) -> LadderModel:
+        """Only the effects that ``models`` need, fitted on train."""
+        return self.ladder.fit(self.ws, self.inner.train, self.items, models)
 
-    def compare(self, **options) -> DataFrame:
+    def compare(self, models: Sequence[str] = COMPARED, na: str = "propagate") -> DataFrame:
         """RMSE of the models on test."""
-        return self.model.evaluate(self.ws, self.inner.holdout, self.items, **options)
+        return self.fit(models).evaluate(self.ws, self.inner.holdout, self.items, models, na)
+
+    def refit(self, model: str = "8") -> LadderModel:
+        """The chosen model fitted again on everything but the final hold-out."""
+        return self.ladder.fit(self.ws, self.outer.train, self.items, [model])
 
     def final_score(self, model: str = "8") -> DataFrame:
         """RMSE of the refitted model on the final hold-out."""
-        return self.final_model.evaluate(self.ws, self.outer.holdout, self.items, models=[model])
+        return self.refit(model).evaluate(self.ws, self.outer.holdout, self.items, [model])
 
     def final_predictions(self, model: str = "8") -> DataFrame:
-        return self.final_model.transform(self.ws, self.outer.holdout, self.items, model)
+        """The final hold-out with the predictions of the refitted model."""
+        return self.refit(model).transform(self.ws, self.outer.holdout, self.items, model)
 
     def split_counts(self) -> DataFrame:
         """Number of ratings on every side of both splits."""

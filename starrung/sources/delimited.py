@@ -46,6 +46,10 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def describe_schema(df: DataFrame) -> DataFrame:
-    """Column names and types of ``df`` in order, as rows; its data is not read."""
-    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)]
-    return df.sparkSession.createDataFrame(rows, "position int, name string, type string")
+    """Position, name and type of every column, with the number of rows of the table."""
+    columns = [
+        F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.lit(kind).alias("type"))
+        for i, (name, kind) in enumerate(df.dtypes, start=1)
+    ]
+    counted = df.agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select("rows", F.inline(F.array(*columns))).select("position", "name", "type", "rows")
