@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from starrung.functions.labels import split_labels
 from starrung.functions.measures import max_of, min_of
-from starrung.operators.joins import lookup
+from starrung.operators.joins import semi_join
 from starrung.operators.split import hash_order, sample_keys
+from starrung.workspace import Workspace
 
 
 def count_per_key(df: DataFrame, key: str, name: str = "num_ratings") -> DataFrame:
@@ -46,10 +47,10 @@ def preview(df: DataFrame, order: Sequence[str | Column], n: int = 6) -> DataFra
     return df.orderBy(*order).limit(n)
 
 
-def members(df: DataFrame, **allowed: DataFrame) -> DataFrame:
+def members(ws: Workspace, df: DataFrame, **allowed: DataFrame) -> DataFrame:
     """Rows whose columns all take values from the given one-column tables; ``column=table``."""
     for column, table in allowed.items():
-        df = lookup(df, table.toDF(column).distinct(), [column], "left_semi")
+        df = semi_join(ws, df, table.toDF(column), column)
     return df
 
 
@@ -62,13 +63,14 @@ def sparse_matrix(df: DataFrame, row: str, column: str, value: str, columns: Seq
 
 
 def sparse_sample(
-    df: DataFrame, row: str, column: str, value: str, rows: int, columns: int, seed: int
+    ws: Workspace, df: DataFrame, row: str, column: str, value: str, rows: int, columns: int, seed: int
 ) -> DataFrame:
     """A corner of the matrix: ``rows`` random row keys and ``columns`` random columns among theirs.
 
     Columns are named ``pick_1``, ``pick_2``, ... in the random order.
     """
-    chosen = members(df.select(row, column, value), **{row: sample_keys(df, row, rows, seed)})
+    chosen = members(ws, df.select(row, column, value), **{row: sample_keys(df, row, rows, seed)})
+    chosen = ws.table(chosen, "sparse-rows")
     picks = chosen.select(column).distinct().orderBy(hash_order(seed, column)).limit(columns)
     values = [r[0] for r in picks.collect()]
     matrix = sparse_matrix(chosen, row, column, value, values)

@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starrung.workspace import Kept, row_bytes
+from starrung.workspace import Kept, Workspace, row_bytes
 
 BROADCAST_BYTES = 64 << 20
 HEAVY_ROWS = 1_000_000
@@ -26,10 +26,9 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
-def is_small(table: DataFrame | Kept, broadcast_bytes: int | None = None) -> bool:
+def is_small(table: DataFrame | Kept) -> bool:
     """Whether the measured size of ``table`` allows a broadcast."""
-    bound = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    return (table.bytes if isinstance(table, Kept) else measured_bytes(table)) <= bound
+    return (table.bytes if isinstance(table, Kept) else measured_bytes(table)) <= BROADCAST_BYTES
 
 
 def heavy_limit(df: DataFrame) -> int:
@@ -37,8 +36,7 @@ def heavy_limit(df: DataFrame) -> int:
     return max(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = None,
-               least_rows: int = HEAVY_ROWS) -> DataFrame:
+def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = None) -> DataFrame:
     """The most frequent keys, as a local table of ``heavy_limit`` rows at most.
 
     ``weight`` is given when ``rows`` already has one row per key with its count.
@@ -47,7 +45,7 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = Non
         rows.select(*keys, weight.alias("__n")) if weight is not None
         else rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     )
-    top = counted.where(F.col("__n") >= least_rows).orderBy(F.desc("__n")).limit(heavy_limit(rows))
+    top = counted.where(F.col("__n") >= HEAVY_ROWS).orderBy(F.desc("__n")).limit(heavy_limit(rows))
     found = top.select(*keys)
     return rows.sparkSession.createDataFrame(found.collect(), found.schema)
 
@@ -66,19 +64,22 @@ def lookup(
     how: str = "left",
     heavy: Callable[[], DataFrame] | None = None,
     balanced: bool = False,
-    broadcast_bytes: int | None = None,
+    ws: Workspace | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` that has one row per key; ``how`` is left, inner, left_semi or left_anti.
 
     ``heavy`` gives the keys to keep out of the shuffle and is called only if
     there is one; without it they are found by counting. ``balanced`` says that
-    no key of ``rows`` is frequent, so that none has to be taken out.
+    no key of ``rows`` is frequent, so that none has to be taken out. Beyond the
+    bound ``rows`` is read up to three times; with ``ws`` it is written first.
     """
     side = table.df if isinstance(table, Kept) else table
-    if is_small(table, broadcast_bytes):
+    if is_small(table):
         return null_safe_join(rows, F.broadcast(side), keys, how)
     if balanced:
         return null_safe_join(rows, side, keys, how)
+    if ws is not None:
+        rows = ws.table(rows, "rows")
     heavy = F.broadcast(heavy() if heavy else heavy_keys(rows, keys))
     # The same join type on the short key list says what becomes of each heavy row.
     outcome = null_safe_join(heavy, _only(side, heavy, keys), keys, how)
@@ -91,9 +92,9 @@ def _only(side: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     return null_safe_join(side, heavy, keys, "left_semi")
 
 
-def semi_join(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+def semi_join(ws: Workspace, rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in ``other``; NULL counts as a value."""
-    return lookup(rows, other.select(key).distinct(), [key], "left_semi")
+    return lookup(rows, ws.keep(other.select(key).distinct(), f"keys-{key}"), [key], "left_semi")
 
 
 def natural_anti_join(left: DataFrame, right: DataFrame) -> DataFrame:

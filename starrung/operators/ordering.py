@@ -20,12 +20,12 @@ def with_running_total(
     starts. ``order`` must tell rows apart, so that ranges are balanced.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    placed = ws.keep(
+    placed = ws.table(
         df.withColumn("__w", weight)
         .repartitionByRange(*order)
         .withColumn("__part", F.spark_partition_id()),
         "ordered",
-    ).df
+    )
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__part")

@@ -125,12 +125,12 @@ def _divide_ties(ws: Workspace, flagged: DataFrame, columns: Sequence[str]) -> D
         .groupBy("__stratum", "__take", *columns)
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
-    placed = ws.keep(
+    placed = ws.table(
         with_running_total(ws, tied, ["__stratum", *columns], "__before", F.col("__copies")), "ties"
     )
-    starts = ws.keep(placed.df.groupBy("__stratum").agg(F.min("__before").alias("__start")), "starts")
+    starts = ws.keep(placed.groupBy("__stratum").agg(F.min("__before").alias("__start")), "starts")
     here = F.col("__take") - (F.col("__before") - F.col("__start"))
-    divided = lookup(placed.df, starts, ["__stratum"]).withColumn(
+    divided = lookup(placed, starts, ["__stratum"]).withColumn(
         "__held", F.greatest(F.lit(0), F.least(F.col("__copies"), here))
     )
     held = divided.select(*columns, F.lit(True).alias("held_out"), F.col("__held").alias("__n"))
@@ -170,7 +170,7 @@ def repair_holdout(
         checked = lookup(checked, table, [key])
     marks = [F.col(f"__known_{key}") for key in unknown]
     checked = checked.select(*holdout.columns, F.coalesce(*marks, F.lit(True)).alias("__complete"))
-    checked = ws.keep(checked, "checked", ("__complete",)).df
+    checked = ws.table(checked, "checked", ("__complete",))
     kept = checked.where("__complete").drop("__complete")
     removed = checked.where("not __complete").drop("__complete")
     return Repaired(train.unionByName(removed) if add_back else train, kept, removed)
@@ -195,7 +195,7 @@ def split_and_repair(
 ) -> Split:
     """Draw a stratified hold-out, write both sides apart from each other, and repair the hold-out."""
     flagged = stratified_split(ws, df, stratum, fraction, key, seed)
-    sides = ws.keep(flagged, "split", ("held_out",)).df
+    sides = ws.table(flagged, "split", ("held_out",))
     drawn = sides.where("held_out").drop("held_out")
     rest = sides.where("not held_out").drop("held_out")
     return Split(drawn, *repair_holdout(ws, rest, drawn, keys, add_back))

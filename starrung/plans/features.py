@@ -17,6 +17,7 @@ from starrung.functions import (
     sequel_flag,
 )
 from starrung.operators.joins import lookup
+from starrung.workspace import Workspace
 
 
 def item_features(
@@ -45,8 +46,8 @@ def get_release_year(df: DataFrame) -> DataFrame:
 
 
 def rating_features(
-    ratings: DataFrame, items: DataFrame, vocabulary: Sequence[str], as_of_year: int, match: str = "substring"
+    ws: Workspace, ratings: DataFrame, items: DataFrame, vocabulary: Sequence[str], as_of_year: int
 ) -> DataFrame:
     """Ratings widened by the features of their item and by the rating year."""
-    per_item = item_features(items, vocabulary, as_of_year, match).drop("profile")
-    return lookup(ratings, per_item, ["item_id"]).withColumn("year_stamp", rating_year(F.col("ts")))
+    per_item = item_features(items, vocabulary, as_of_year).drop("profile")
+    return lookup(ratings, per_item, ["item_id"], ws=ws).withColumn("year_stamp", rating_year(F.col("ts")))

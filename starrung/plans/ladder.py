@@ -246,11 +246,11 @@ class LadderModel:
                 scored, terms, ["item_id"], heavy=lambda: heavy_keys(rated, ["item_id"], weight=F.col("n"))
             )
             if not is_small(terms):
-                scored = ws.keep(scored, "with-items").df
+                scored = ws.table(scored, "with-items")
         if "user" in names:
             scored = apply_effect(scored, self.effects["user"], "user_id")
             if not is_small(self.effects["user"]):
-                scored = ws.keep(scored, "with-users").df
+                scored = ws.table(scored, "with-users")
         if "year" in names:
             scored = apply_effect(scored, self.effects["year"], "year_stamp")
         prediction = reduce(add, [_effect(name) for name in names], F.lit(self.mean))

@@ -45,7 +45,7 @@ def _study(spark: SparkSession, sf_dir: str, sparse: bool = False) -> Study:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joined(ratings_of(spark, sf_dir), items_of(spark, sf_dir))
+    return joined(Workspace(spark), ratings_of(spark, sf_dir), items_of(spark, sf_dir))
 
 
 # Sources
@@ -77,7 +77,8 @@ def q_ratings_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = rating_features(ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
+    ws = Workspace(spark)
+    wide = rating_features(ws, ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
     return wide.select("row_key", "num_genre", "release_year", "age_group", "sequel", "year_stamp")
 
 
@@ -153,8 +154,9 @@ def q_split_counts_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_holdout_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir, sparse=True)
     drawn = study.outer.drawn
-    rest = natural_anti_join(study.ratings, drawn)
-    return semi_join(semi_join(drawn, rest, "item_id"), rest, "user_id")
+    rest = study.ws.table(natural_anti_join(study.ratings, drawn), "rest")
+    known_item = semi_join(study.ws, drawn, rest, "item_id")
+    return semi_join(study.ws, known_item, rest, "user_id")
 
 
 def q_holdout_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +239,7 @@ def q_freq_sequel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_label_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
-    rated = semi_join(study.items, study.outer.train, "item_id")
+    rated = semi_join(study.ws, study.items, study.outer.train, "item_id")
     return label_vocabulary(rated, "genres")
 
 
@@ -248,8 +250,8 @@ def q_sequel_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sparse_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edx = _study(spark, sf_dir).outer.train
-    return sparse_sample(edx, "user_id", "item_id", "rating", rows=10, columns=4, seed=7)
+    study = _study(spark, sf_dir)
+    return sparse_sample(study.ws, study.outer.train, "user_id", "item_id", "rating", rows=10, columns=4, seed=7)
 
 
 # Effects and models
@@ -257,8 +259,8 @@ def q_sparse_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_apply_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark)
-    wide = rating_features(ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
-    rows = ws.keep(wide.select("row_key", "rating", "release_year"), "rows").df
+    wide = rating_features(ws, ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
+    rows = ws.table(wide.select("row_key", "rating", "release_year"), "rows")
     residual = F.col("rating") - F.lit(global_mean(rows))
     effect = ws.keep(fit_effect(rows, "release_year", residual, "release"), "effect")
     return apply_effect(rows, effect, "release_year").select(

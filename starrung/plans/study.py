@@ -47,7 +47,7 @@ class Study:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return self.ws.keep(self.source, "ratings").df
+        return self.ws.table(self.source, "ratings")
 
     def _split(self, df: DataFrame, step: int, add_back: bool) -> Split:
         return split_and_repair(
@@ -110,4 +110,4 @@ class Study:
         return result
 
     def joined(self, ratings: DataFrame) -> DataFrame:
-        return joined(ratings, self.items)
+        return joined(self.ws, ratings, self.items)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.operators.joins import lookup
+from starrung.workspace import Workspace
 
 # The label vocabulary of the items view.
 VIEW_LABELS = (
@@ -107,6 +108,6 @@ def items_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def joined(ratings: DataFrame, items: DataFrame) -> DataFrame:
+def joined(ws: Workspace, ratings: DataFrame, items: DataFrame) -> DataFrame:
     """Every rating with the title and labels of its item, NULL where the item is not listed."""
-    return lookup(ratings, items, ["item_id"])
+    return lookup(ratings, items, ["item_id"], ws=ws)

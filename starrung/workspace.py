@@ -80,19 +80,25 @@ class Workspace:
         self._count += 1
         return f"{self.root}/{self._count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Kept:
-        """Write ``df`` once and read it back with the same schema."""
+    def table(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` once and read it back with the same schema; for ratings and the like."""
+        path = self.path(name)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self._read(df.schema, path, partition_by)
+
+    def keep(self, df: DataFrame, name: str) -> Kept:
+        """Write ``df`` once and measure it on the way; for tables that may be looked up."""
         path = self.path(name)
         seen = Observation()
-        observed = df.observe(
+        df.observe(
             seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
-        )
-        observed.write.partitionBy(*partition_by).parquet(path)
+        ).write.parquet(path)
         sizes = seen.get
-        schema = T.StructType([f for f in df.schema if f.name not in partition_by]
-                              + [df.schema[p] for p in partition_by])
-        back = self.spark.read.schema(schema).parquet(path)
-        return Kept(back, sizes.get("rows", 0) or 0, sizes.get("bytes", 0) or 0, path)
+        return Kept(self._read(df.schema, path, ()), sizes.get("rows") or 0, sizes.get("bytes") or 0, path)
+
+    def _read(self, schema: T.StructType, path: str, partition_by: tuple[str, ...]) -> DataFrame:
+        fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]
+        return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
     def release(self) -> None:
         """Delete everything this workspace wrote."""
