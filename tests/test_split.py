@@ -1,0 +1,144 @@
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from starrung.operators.split import (
+    quartile_stratum,
+    repair_holdout,
+    sample_keys,
+    shuffle_keys,
+    split_and_repair,
+    stratified_split,
+)
+
+
+def expected_split(data, fraction, seed):
+    """Rows (key, stratum) drawn by sorting every stratum on its own."""
+    held = set()
+    for stratum in {s for _, s in data}:
+        keys = sorted((k for k, s in data if s == stratum), key=lambda k: hashlib.md5(f"{seed}:{k}".encode()).hexdigest())
+        held |= set(keys[: math.ceil(len(keys) * fraction)])
+    return held
+
+
+@pytest.mark.parametrize("ranked", [200_000, 3])
+@pytest.mark.parametrize("fraction", [0.1, 0.37, 1.0])
+def test_split_takes_the_first_hashes_of_every_stratum(spark, ws, ranked, fraction):
+    data = [(i, 0 if i % 3 == 0 else i % 7) for i in range(5000)] + [(9999, 77)]
+    df = spark.createDataFrame(data, "key bigint, s int")
+    got = stratified_split(ws, df, F.col("s"), fraction, ["key"], 5, ranked_hashes=ranked)
+    held = {r.key for r in got.where("held_out").collect()}
+    assert held == expected_split(data, fraction, 5)
+    assert got.count() == len(data)
+
+
+def test_nothing_is_drawn_with_fraction_zero(spark, ws):
+    df = spark.range(100).withColumnRenamed("id", "key")
+    got = stratified_split(ws, df, F.lit(1), 0.0, ["key"], 1)
+    assert got.where("held_out").count() == 0 and got.count() == 100
+
+
+def test_null_stratum_is_a_stratum(spark, ws):
+    df = spark.range(100).select(F.col("id").alias("key"), F.when(F.col("id") < 40, 1).alias("s"))
+    got = stratified_split(ws, df, F.col("s"), 0.25, ["key"], 1).where("held_out").groupBy("s").count()
+    assert rows(got) == [(None, 15), (1, 10)]
+
+
+def test_split_does_not_depend_on_partitioning(spark, ws):
+    df = spark.range(2000).select(F.col("id").alias("key"), (F.col("id") % 4).alias("s"))
+    first = rows(stratified_split(ws, df.repartition(1), F.col("s"), 0.2, ["key"], 9))
+    second = rows(stratified_split(ws, df.repartition(13), F.col("s"), 0.2, ["key"], 9))
+    assert first == second
+
+
+@pytest.mark.parametrize("ranked", [200_000, 1])
+def test_copies_of_one_row_are_divided_exactly(spark, ws, ranked):
+    """A third of all rows are equal, and others share their key but not their value."""
+    data = [("hot", 0.0)] * 500 + [("same", float(i % 50)) for i in range(500)] + [(str(i), 1.0) for i in range(500)]
+    df = spark.createDataFrame(data, "key string, v double")
+    for fraction in (0.1, 0.5, 0.9):
+        got = stratified_split(ws, df, F.lit("all"), fraction, ["key"], 3, ranked_hashes=ranked)
+        held = Counter((r.key, r.v) for r in got.where("held_out").collect())
+        rest = Counter((r.key, r.v) for r in got.where("not held_out").collect())
+        assert sum(held.values()) == math.ceil(1500 * fraction)
+        assert held + rest == Counter(data)
+        order = sorted(data, key=lambda r: (hashlib.md5(f"3:{r[0]}".encode()).hexdigest(), r[1]))
+        assert held == Counter(order[: math.ceil(1500 * fraction)])
+
+
+def test_numeric_strata_are_quartiles(spark, ws):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 9)] + [(1.0,)] * 8, "x double")
+    got = df.select("x", quartile_stratum(ws, df, "x").alias("s")).distinct()
+    # Quartiles 1, 1, 1, 4.25 and 8.
+    assert {x: s for x, s in rows(got)} == {**{float(i): 1 for i in range(1, 5)}, **{float(i): 2 for i in range(5, 9)}}
+
+
+TRAIN = [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "n")]
+HOLD = [(1, 1, "d"), (3, 1, "e"), (1, 9, "f"), (3, 9, "g"), (3, 9, "g"), (None, 2, "m")]
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+@pytest.mark.parametrize("add_back", [True, False])
+def test_repair(spark, ws, add_back, shuffled, request):
+    if shuffled:
+        request.getfixturevalue("no_broadcast")
+    schema = "user_id int, item_id int, row_key string"
+    train, hold = spark.createDataFrame(TRAIN, schema), spark.createDataFrame(HOLD, schema)
+    got = repair_holdout(ws, train, hold, ["item_id", "user_id"], add_back)
+    assert [r[2] for r in rows(got.holdout)] == ["m", "d"]
+    assert sorted(r[2] for r in rows(got.removed)) == ["e", "f", "g", "g"]
+    assert sorted(r[2] for r in rows(got.train)) == sorted(list("abcn") + (["e", "f", "g", "g"] if add_back else []))
+
+
+def test_repair_without_unknown_keys(spark, ws):
+    train = spark.createDataFrame(TRAIN, "user_id int, item_id int, row_key string")
+    got = repair_holdout(ws, train, train, ["item_id", "user_id"], True)
+    assert got.holdout.count() == 4 and got.removed.count() == 0 and got.train.count() == 4
+
+
+def test_split_and_repair_keeps_every_row(spark, ws):
+    df = spark.range(600).select(
+        F.col("id").alias("key"), (F.col("id") % 150).alias("user_id"), (F.col("id") % 7).alias("item_id")
+    )
+    got = split_and_repair(ws, df, F.lit(0), 0.3, ["key"], 1, ["user_id", "item_id"], True)
+    both = rows(got.train.unionByName(got.holdout))
+    assert both == rows(df)
+    assert got.drawn.count() == 180
+    assert got.holdout.join(got.train, "user_id", "left_anti").count() == 0
+
+
+@pytest.mark.parametrize(
+    "study, sizes",
+    [
+        ("dense", {"rows": 6000, "drawn": 602, "validation": 602, "given_back": 0, "edx": 5398, "train": 4317,
+                   "test_drawn": 1081, "test": 1081}),
+        ("sparse", {"rows": 309, "drawn": 33, "validation": 23, "given_back": 10, "edx": 286, "train": 227,
+                    "test_drawn": 59, "test": 33}),
+    ],
+)
+def test_split_sizes(request, study, sizes):
+    assert dict(rows(request.getfixturevalue(study).split_counts())) == sizes
+
+
+def test_split_sizes_with_shuffled_lookups(sparse, spark, no_broadcast):
+    from conftest import DATA
+
+    from starrung import Study
+
+    again = Study.of_tables(spark, DATA, sparse=True)
+    assert rows(again.inner.train) == rows(sparse.inner.train)
+    assert rows(again.inner.holdout) == rows(sparse.inner.holdout)
+    assert rows(again.outer.holdout) == rows(sparse.outer.holdout)
+
+
+def test_sample_and_shuffle_keys(spark, ws):
+    df = spark.range(1000).select((F.col("id") % 40).alias("k"))
+    order = sorted(range(40), key=lambda k: hashlib.md5(f"2:{k}".encode()).hexdigest())
+    assert [r.k for r in sample_keys(df, "k", 5, 2).collect()] == order[:5]
+    shuffled = sorted(shuffle_keys(ws, df, "k", 2).collect(), key=lambda r: r.position)
+    assert [r.k for r in shuffled] == order
+    assert [r.position for r in shuffled] == list(range(1, 41))
