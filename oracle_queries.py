@@ -117,7 +117,7 @@ def ladder_ctes(train: str, test: str) -> str:
         for i in range(1, len(LABELS) + 1)
     )
     probs = "[" + ", ".join(f"{i / 10}" for i in range(11)) + "]"
-    grp = "case when genre_score is null then null else cast(1 + len(list_filter(b[2:10], lambda x: x < genre_score)) as int) end"
+    grp = "case when genre_score is null then null else cast(1 + len(list_filter(b[2:len(b) - 1], lambda x: x < genre_score)) as int) end"
 
     def widened(name: str, source: str) -> str:
         return f"""
@@ -133,7 +133,9 @@ def ladder_ctes(train: str, test: str) -> str:
 {name}_s as materialized (
   select t.*, genre_score from {source} t join {name}_v v on t.flags is not distinct from v.flags
 ),
-{name}_b as materialized (select quantile_cont(genre_score, {probs}) as b from {name}_s),
+{name}_b as materialized (
+  select list_sort(list_distinct(quantile_cont(genre_score, {probs}))) as b from {name}_s
+),
 {name} as materialized (select s.*, {grp} as "group" from {name}_s s, {name}_b)"""
 
     parts = [
@@ -381,7 +383,7 @@ select position, label, flag, {_r6('effect')} as effect, n from e_label"""),
 select item_id, {_r6(_label_score())} as genre_score from feat, lab"""),
         "score_breaks": _with(*ladder, select=f"""
 select cast(i as int) as position, {_r6('b[i + 1]')} as score_break
-from tr4_b, (select unnest(range(11)) as i)"""),
+from tr4_b, lateral (select unnest(range(len(b))) as i)"""),
         "score_group": _with(*ladder, select="""
 select 'train' as side, item_id, "group", count(*) as n from tr4 group by 1, 2, 3
 union all select 'test', item_id, "group", count(*) from te4 group by 1, 2, 3"""),

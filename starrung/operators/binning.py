@@ -36,27 +36,35 @@ def quantile_breaks(
     parts: int,
     weight: Column | None = None,
     dedupe: bool = False,
-    single_task_values: int = SINGLE_TASK_VALUES,
+    rows: int | None = None,
 ) -> list[float]:
     """The ``parts + 1`` exact quantiles at 0, 1/parts, ..., 1, linearly interpolated.
 
-    ``weight`` is the number of rows each row stands for. Equal breaks raise an
-    error, or are merged with ``dedupe``.
+    ``weight`` is the number of rows each row stands for; ``rows`` is the number
+    of rows of ``df`` if it is known. Equal breaks raise an error, or are merged
+    with ``dedupe``.
     """
-    counts = value_counts(ws, df, value, weight)
-    if counts.rows == 0:
-        raise ValueError("no values to take quantiles of")
-    if counts.rows <= single_task_values:
-        shares = F.array(*[F.lit(i / parts) for i in range(parts + 1)])
-        breaks = list(counts.df.agg(F.percentile("value", shares, F.col("n"))).first()[0])
+    if rows is not None and rows <= SINGLE_TASK_VALUES:
+        breaks = _percentiles(df, value.cast("double"), parts, F.lit(1) if weight is None else weight)
     else:
-        breaks = _breaks_by_rank(ws, counts.df, parts)
+        counts = value_counts(ws, df, value, weight)
+        if counts.rows <= SINGLE_TASK_VALUES:
+            breaks = _percentiles(counts.df, F.col("value"), parts, F.col("n"))
+        else:
+            breaks = _breaks_by_rank(ws, counts.df, parts)
+    if breaks is None:
+        raise ValueError("no values to take quantiles of")
     distinct = sorted(set(breaks))
     if len(distinct) < len(breaks) and not dedupe:
         raise ValueError(f"{len(breaks) - len(distinct)} of {len(breaks)} breaks repeat; too few distinct values")
     return distinct
 
 
+def _percentiles(df: DataFrame, value: Column, parts: int, weight: Column) -> list[float] | None:
+    shares = F.array(*[F.lit(i / parts) for i in range(parts + 1)])
+    return df.agg(F.percentile(value, shares, weight)).first()[0]
+
+
 def _breaks_by_rank(ws: Workspace, counts: DataFrame, parts: int) -> list[float]:
     """The same quantiles when there are too many distinct values for one task."""
     rows = counts.agg(F.sum("n")).first()[0]

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +54,8 @@ def label_effects(cells: DataFrame, vocabulary: Sequence[str], total: str = "tot
     result has one row per ``position`` of the label and ``flag`` (1, 0 or NULL).
     """
     spots = F.explode(F.sequence(F.lit(1), F.lit(len(vocabulary)))).alias("position")
-    flags = cells.select("profile", "n", total, spots)
+    per_profile = cells.groupBy("profile").agg(F.sum("n").alias("n"), F.sum(total).alias(total))
+    flags = per_profile.select("profile", "n", total, spots)
     flag = F.substr(F.col("profile"), F.col("position"), F.lit(1)).cast("int")
     label = F.element_at(F.array(*[F.lit(v) for v in vocabulary]), F.col("position"))
     return (
@@ -66,19 +65,20 @@ def label_effects(cells: DataFrame, vocabulary: Sequence[str], total: str = "tot
     )
 
 
-def label_score(profile: Column, effects: dict[tuple[int, int | None], float], labels: int) -> Column:
-    """Sum of the label effects of a profile, always added in label order.
+def label_score(profile: str, effects: dict[tuple[int, int | None], float], labels: int) -> Column:
+    """Sum of the label effects of a ``profile`` column, always added in label order.
 
     ``effects`` maps (position, flag) to the effect, three entries per label at
     most. A flag value that was not seen while fitting gives NULL.
     """
-    def known(position: int, flag: int | None) -> Column:
-        return F.lit(effects.get((position, flag))).cast("double")
-
-    terms = []
-    for position in range(1, labels + 1):
-        bit = F.substring(profile, position, 1)
-        terms.append(
-            F.when(bit == "1", known(position, 1)).when(bit == "0", known(position, 0)).otherwise(known(position, None))
-        )
-    return reduce(add, terms)
+
+    def known(position: int, flag: int | None) -> str:
+        effect = effects.get((position, flag))
+        return "cast(null as double)" if effect is None else f"{effect!r}D"
+
+    terms = [
+        f"(case substring({profile}, {i}, 1) when '1' then {known(i, 1)} when '0' then {known(i, 0)} "
+        f"else {known(i, None)} end)"
+        for i in range(1, labels + 1)
+    ]
+    return F.expr(" + ".join(terms))

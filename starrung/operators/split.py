@@ -1,9 +1,9 @@
 """Exact stratified splits, hold-out repair and key samples.
 
 Rows are ordered by the md5 of a seed and a row key. A stratum's share is found
-by counting hash prefixes, which Spark pre-aggregates before the shuffle; only
-the hashes that share the cut-off prefix are looked at one by one. The split
-itself is then a comparison per row.
+by counting hash prefixes, which Spark pre-aggregates before the shuffle. One
+more reading then writes both sides; only the few rows that share the cut-off
+prefix are looked at one by one.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from starrung.operators.binning import assign_bins, quantile_breaks
@@ -23,6 +23,7 @@ from starrung.workspace import Kept, Workspace
 # Hex digits of the first count: 4096 groups per stratum.
 FIRST_DIGITS = 3
 MORE_DIGITS = 4
+_REST, _HELD, _NEAR = 0, 1, 2
 # Hashes of one stratum that one task may rank.
 RANKED_HASHES = 200_000
 
@@ -47,20 +48,34 @@ def stratified_split(
     seed: int,
     ranked_hashes: int = RANKED_HASHES,
 ) -> DataFrame:
-    """Add ``held_out``: true for exactly ``ceil(n * fraction)`` rows of every stratum."""
+    """``df`` with ``held_out``: true for exactly ``ceil(n * fraction)`` rows of every stratum.
+
+    The result is written, both sides apart, so that a filter on ``held_out``
+    reads one side only.
+    """
     columns = df.columns
     rows = df.withColumns({"__stratum": stratum, "__hash": hash_order(seed, *key)})
-    cut = _cut_offs(ws, rows.select("__stratum", "__hash"), fraction, ranked_hashes)
-    order, limit = F.col("__hash"), F.col("__limit")
-    flagged = lookup(rows, cut, ["__stratum"]).withColumn(
-        "held_out",
-        F.when(limit.isNull(), False)
-        .when(order != limit, order < limit)
-        .when(F.col("__take") == F.col("__n"), True),
+    prefix = F.substring("__hash", 1, FIRST_DIGITS)
+    bucket = _first_bucket(ws, rows.groupBy("__stratum", prefix.alias("__prefix")), fraction)
+    side = (
+        F.when(F.col("__prefix").isNull() | (prefix > F.col("__prefix")), _REST)
+        .when(prefix < F.col("__prefix"), _HELD)
+        .otherwise(_NEAR)
     )
-    whole = flagged.where(F.col("held_out").isNotNull()) if _torn(cut) else flagged
-    whole = whole.select(*columns, "held_out")
-    return whole.unionByName(_divide_ties(ws, flagged, columns)) if _torn(cut) else whole
+    placed = lookup(rows, bucket, ["__stratum"]).withColumn("__side", side)
+    only_near = [F.when(F.col("__side") == _NEAR, F.col(c)).alias(c) for c in ("__stratum", "__need", "__hash")]
+    sides = ws.table(placed.select(*columns, *only_near, "__side"), "sides", ("__side",))
+    clear = sides.where(F.col("__side") != _NEAR).select(*columns, (F.col("__side") == _HELD).alias("held_out"))
+    near = _split_near(ws, sides.where(F.col("__side") == _NEAR), columns, bucket.totals["near"], ranked_hashes)
+    return clear.unionByName(ws.table(near, "near-sides", ("held_out",)))
+
+
+def _first_bucket(ws: Workspace, by_prefix: GroupedData, fraction: float) -> Kept:
+    """Per stratum the hash prefix at which its share ends, and the rows it takes there."""
+    counted = by_prefix.agg(F.count(F.lit(1)).alias("__n"))
+    in_stratum = F.sum("__n").over(Window.partitionBy("__stratum"))
+    counted = counted.withColumn("__need", F.ceil(in_stratum * F.lit(fraction)))
+    return ws.keep(_pick(counted, "__prefix"), "bucket", near=F.coalesce(F.sum("__n"), F.lit(0)))
 
 
 def _pick(buckets: DataFrame, bucket: str) -> DataFrame:
@@ -74,57 +89,54 @@ def _pick(buckets: DataFrame, bucket: str) -> DataFrame:
     )
 
 
-def _cut_offs(ws: Workspace, rows: DataFrame, fraction: float, ranked_hashes: int) -> Kept:
-    """Per stratum the last hash taken, with the number of rows that have it and that are taken."""
-    counted = rows.groupBy("__stratum", F.substring("__hash", 1, FIRST_DIGITS).alias("__prefix")).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    in_stratum = F.sum("__n").over(Window.partitionBy("__stratum"))
-    counted = counted.withColumn("__need", F.ceil(in_stratum * F.lit(fraction)))
-    bucket = ws.keep(_pick(counted, "__prefix").drop("__n"), "bucket")
-    # Equal hashes collapse here, so a key with many copies stays one row.
-    near = ws.keep(
-        lookup(rows, bucket, ["__stratum"], "inner")
-        .where(F.substring("__hash", 1, FIRST_DIGITS) == F.col("__prefix"))
-        .groupBy("__stratum", "__need", "__hash")
-        .agg(F.count(F.lit(1)).alias("__n")),
-        "near",
+def _split_near(
+    ws: Workspace, near: DataFrame, columns: Sequence[str], rows: int, ranked_hashes: int
+) -> DataFrame:
+    """``held_out`` for the ``rows`` rows that share the cut-off prefix of their stratum."""
+    cut = _cut_offs(ws, near, rows, ranked_hashes)
+    order, limit = F.col("__hash"), F.col("__limit")
+    flagged = lookup(near, cut, ["__stratum"]).withColumn(
+        "held_out", F.when(order != limit, order < limit).when(F.col("__take") == F.col("__n"), True)
     )
-    digits = FIRST_DIGITS
-    while near.rows > ranked_hashes and _largest_stratum(near) > ranked_hashes and digits < 32:
-        digits = min(32, digits + MORE_DIGITS)
-        near = _narrow(ws, near.df, digits)
-    found = _pick(near.df, "__hash").select(
+    if not cut.totals["torn"]:
+        return flagged.select(*columns, "held_out")
+    whole = flagged.where(F.col("held_out").isNotNull()).select(*columns, "held_out")
+    return whole.unionByName(_divide_ties(ws, flagged.where(F.col("held_out").isNull()), columns))
+
+
+def _cut_offs(ws: Workspace, near: DataFrame, rows: int, ranked_hashes: int) -> Kept:
+    """Per stratum the last hash taken, with the number of rows that have it and that are taken."""
+    # Equal hashes collapse here, so a key with many copies is one row.
+    hashes = near.groupBy("__stratum", "__need", "__hash").agg(F.count(F.lit(1)).alias("__n"))
+    if rows > ranked_hashes:
+        kept = ws.keep(hashes, "hashes")
+        digits = FIRST_DIGITS
+        while kept.rows > ranked_hashes and _largest_stratum(kept) > ranked_hashes and digits < 32:
+            digits = min(32, digits + MORE_DIGITS)
+            kept = _narrow(ws, kept.df, digits)
+        hashes = kept.df
+    found = _pick(hashes, "__hash").select(
         "__stratum", F.col("__hash").alias("__limit"), F.col("__need").alias("__take"), "__n"
     )
-    return ws.keep(found, "cut")
+    return ws.keep(found, "cut", torn=F.count_if(F.col("__take") < F.col("__n")))
 
 
-def _largest_stratum(near: Kept) -> int:
-    return near.df.groupBy("__stratum").count().agg(F.max("count")).first()[0]
+def _largest_stratum(hashes: Kept) -> int:
+    return hashes.df.groupBy("__stratum").count().agg(F.max("count")).first()[0]
 
 
-def _narrow(ws: Workspace, near: DataFrame, digits: int) -> Kept:
+def _narrow(ws: Workspace, hashes: DataFrame, digits: int) -> Kept:
     """The hashes that share a longer cut-off prefix."""
     prefix = F.substring("__hash", 1, digits)
-    counted = near.groupBy("__stratum", "__need", prefix.alias("__prefix")).agg(F.sum("__n").alias("__n"))
+    counted = hashes.groupBy("__stratum", "__need", prefix.alias("__prefix")).agg(F.sum("__n").alias("__n"))
     bucket = ws.keep(_pick(counted, "__prefix").drop("__n"), "bucket")
-    inside = lookup(near.drop("__need"), bucket, ["__stratum"], "inner").where(prefix == F.col("__prefix"))
-    return ws.keep(inside.drop("__prefix"), "near")
-
+    inside = lookup(hashes.drop("__need"), bucket, ["__stratum"], "inner").where(prefix == F.col("__prefix"))
+    return ws.keep(inside.drop("__prefix"), "hashes")
 
-def _torn(cut: Kept) -> bool:
-    """Whether some stratum takes only a part of the rows that share its last hash."""
-    return not cut.df.where(F.col("__take") < F.col("__n")).isEmpty()
 
-
-def _divide_ties(ws: Workspace, flagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _divide_ties(ws: Workspace, tied: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows that share the last hash, divided in the order of their columns."""
-    tied = (
-        flagged.where(F.col("held_out").isNull())
-        .groupBy("__stratum", "__take", *columns)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
+    tied = tied.groupBy("__stratum", "__take", *columns).agg(F.count(F.lit(1)).alias("__copies"))
     placed = ws.table(
         with_running_total(ws, tied, ["__stratum", *columns], "__before", F.col("__copies")), "ties"
     )
@@ -193,9 +205,8 @@ def split_and_repair(
     keys: Sequence[str],
     add_back: bool,
 ) -> Split:
-    """Draw a stratified hold-out, write both sides apart from each other, and repair the hold-out."""
-    flagged = stratified_split(ws, df, stratum, fraction, key, seed)
-    sides = ws.table(flagged, "split", ("held_out",))
+    """Draw a stratified hold-out and repair it."""
+    sides = stratified_split(ws, df, stratum, fraction, key, seed)
     drawn = sides.where("held_out").drop("held_out")
     rest = sides.where("not held_out").drop("held_out")
     return Split(drawn, *repair_holdout(ws, rest, drawn, keys, add_back))

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property, reduce
+from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.functions import MOVIE_LABELS, rating_year
@@ -58,11 +58,12 @@ MODELS: dict[str, tuple[str, ...]] = {
     "8": ("item", "user", "group", "num", "release", "sequel", "year"),
 }
 
+LABEL_SCHEMA = "position int, label string, flag int, effect double, n bigint"
+
 # The models that are compared with each other.
 COMPARED = ("1", "2", "3", "4", "5", "6b", "7", "8")
 
-_FROM_ITEM = ("profile", "num_genre", "release_year", "age_group", "sequel")
-_FEATURES = (*_FROM_ITEM, "year_stamp")
+_FEATURES = ("profile", "num_genre", "release_year", "age_group", "sequel", "year_stamp")
 
 
 def model_title(model: str) -> str:
@@ -86,7 +87,9 @@ class EffectLadder:
     """Settings of the ladder.
 
     ``binning`` is ``independent`` (label scores of the scored ratings are cut
-    at their own quantiles) or ``train`` (at those of the fitted ratings).
+    at their own quantiles) or ``train`` (at those of the fitted ratings). If
+    one score covers several bins they are merged, or refused with
+    ``merge_bins=False``.
     """
 
     as_of_year: int
@@ -94,18 +97,31 @@ class EffectLadder:
     match: str = "substring"
     bins: int = 10
     binning: str = "independent"
+    merge_bins: bool = True
 
     def __post_init__(self):
         if self.binning not in ("independent", "train"):
             raise ValueError(f"binning must be 'independent' or 'train', not {self.binning!r}")
 
-    def features(self, items: DataFrame) -> DataFrame:
-        return item_features(items, self.vocabulary, self.as_of_year, self.match)
+    def features(self, ws: Workspace, items: DataFrame | Kept) -> Kept:
+        """Features per item, to be given as ``items`` wherever they are needed again."""
+        if isinstance(items, Kept):
+            return items
+        return ws.keep(item_features(items, self.vocabulary, self.as_of_year, self.match), "features")
+
+    def score_breaks(self, ws: Workspace, weighted: Kept, score: Column) -> list[float]:
+        """Breaks of a score over rows that each stand for ``n`` ratings."""
+        return quantile_breaks(
+            ws, weighted.df, score, self.bins, weight=F.col("n"), dedupe=self.merge_bins, rows=weighted.rows
+        )
 
     def fit(
-        self, ws: Workspace, ratings: DataFrame, items: DataFrame, models: Sequence[str] = tuple(MODELS)
+        self, ws: Workspace, ratings: DataFrame, items: DataFrame | Kept, models: Sequence[str] = tuple(MODELS)
     ) -> LadderModel:
-        """Fit the effects of ``models`` on ``user_id, item_id, rating, ts`` and ``item_id, title, genres``."""
+        """Fit the effects of ``models`` on ``user_id, item_id, rating, ts`` and ``item_id, title, genres``.
+
+        ``ratings`` is read three times and should be a table, not a long query.
+        """
         rows = _narrow(ratings)
         wanted = {name for model in models for name in MODELS[model]}
 
@@ -114,11 +130,12 @@ class EffectLadder:
                 F.sum("rating").alias("total"), F.count("rating").alias("known"), F.count(F.lit(1)).alias("n")
             ),
             "item-totals",
+            **{name: F.sum(name) for name in ("total", "known", "n")},
         )
-        total, known, n = per_item.df.agg(F.sum("total"), F.sum("known"), F.sum("n")).first()
-        if not n or known < n:
+        n = per_item.totals["n"]
+        if not n or per_item.totals["known"] < n:
             raise ValueError("ratings to fit must exist and must not be NULL")
-        mean = total / n
+        mean = per_item.totals["total"] / n
         by_item = per_item.df.select(
             "item_id", (F.col("total") / F.col("n") - F.lit(mean)).alias("effect_item"), "n"
         )
@@ -144,24 +161,20 @@ class EffectLadder:
             .groupBy("item_id", "year_stamp")
             .agg(F.sum(off_user).alias("total"), F.count(F.lit(1)).alias("n"))
         )
+        sums = lookup(sums, _without_n(item), ["item_id"], balanced=True)
         cells = ws.keep(
-            lookup(sums, self._item_table(ws, item, items), ["item_id"], balanced=True)
+            lookup(sums, self.features(ws, items), ["item_id"], balanced=True)
             .groupBy(*_FEATURES)
             .agg(F.sum(F.col("total") - F.col("n") * _effect("item")).alias("total"), F.sum("n").alias("n")),
             "cells",
-        ).df
-
-        profiles = ws.keep(
-            cells.groupBy("profile").agg(F.sum("total").alias("total"), F.sum("n").alias("n")), "profiles"
-        ).df
-        labels = ws.keep(label_effects(profiles, self.vocabulary), "effect-label")
-        model = replace(model, labels=labels)
-        breaks = quantile_breaks(ws, profiles, model.score(), self.bins, weight=F.col("n"))
+        )
+        model = replace(model, label_rows=label_effects(cells.df, self.vocabulary).collect())
+        breaks = self.score_breaks(ws, cells, model.score())
 
         effects = dict(model.effects)
         keys = [rung.key for rung in RUNGS]
         left = ws.keep(
-            cells.withColumn("group", assign_bins(model.score(), breaks))
+            cells.df.withColumn("group", assign_bins(model.score(), breaks))
             .groupBy(*keys)
             .agg(F.sum("total").alias("total"), F.sum("n").alias("n")),
             "residuals",
@@ -178,11 +191,6 @@ class EffectLadder:
                 left = apply_effect(left, effects[rung.name], rung.key)
         return replace(model, effects=effects, breaks=breaks)
 
-    def _item_table(self, ws: Workspace, item: Kept, items: DataFrame) -> Kept:
-        """Rated items with their effect and features; items that are not listed have NULL features."""
-        listed = lookup(item.df.drop("n"), self.features(items), ["item_id"], balanced=True)
-        return ws.keep(listed, "items")
-
 
 @dataclass(frozen=True)
 class LadderModel:
@@ -191,49 +199,48 @@ class LadderModel:
     ladder: EffectLadder
     mean: float
     effects: dict[str, Kept]
-    labels: Kept | None = None
+    # Three rows per label at most, so they are plain numbers, fixed before any score is computed.
+    label_rows: list[Row] | None = None
     breaks: list[float] | None = None
 
-    @cached_property
-    def label_values(self) -> dict[tuple[int, int | None], float]:
-        """Label effects as numbers: three per label at most, fixed before any score is computed."""
-        return {(row.position, row.flag): row.effect for row in self.labels.df.collect()}
+    @property
+    def labels(self) -> DataFrame:
+        """Label effects: ``position, label, flag, effect, n``."""
+        spark = self.effects["item"].df.sparkSession
+        return spark.createDataFrame(self.label_rows, LABEL_SCHEMA)
 
     def score(self) -> Column:
         """Label score of a ``profile`` column."""
-        return label_score(F.col("profile"), self.label_values, len(self.ladder.vocabulary))
+        effects = {(row.position, row.flag): row.effect for row in self.label_rows}
+        return label_score("profile", effects, len(self.ladder.vocabulary))
 
-    def _group(self, ws: Workspace, weighted: DataFrame) -> Column:
+    def _group(self, ws: Workspace, weighted: Kept) -> Column:
         """Bin of the score; with independent binning ``weighted`` (profile, n) supplies the breaks."""
         breaks = self.breaks
         if self.ladder.binning == "independent":
-            breaks = quantile_breaks(ws, weighted, self.score(), self.ladder.bins, weight=F.col("n"))
+            breaks = self.ladder.score_breaks(ws, weighted, self.score())
         return assign_bins(self.score(), breaks)
 
-    def item_features(self, items: DataFrame) -> DataFrame:
-        """Features and label score per listed item."""
-        return self.ladder.features(items).withColumn("genre_score", self.score())
-
-    def item_groups(self, ws: Workspace, ratings: DataFrame, items: DataFrame) -> DataFrame:
+    def item_groups(self, ws: Workspace, ratings: DataFrame, items: DataFrame | Kept) -> DataFrame:
         """``item_id, n, genre_score, group`` and the features of every item in ``ratings``."""
-        table = self._rated_items(ws, ratings, items).df
-        group = self._group(ws, table.select("profile", "n"))
-        return table.select("*", self.score().alias("genre_score"), group.alias("group"))
+        rated = self._rated_items(ws, ratings, items)
+        group = self._group(ws, rated)
+        return rated.df.select("*", self.score().alias("genre_score"), group.alias("group"))
 
-    def _rated_items(self, ws: Workspace, ratings: DataFrame, items: DataFrame) -> Kept:
+    def _rated_items(self, ws: Workspace, ratings: DataFrame, items: DataFrame | Kept) -> Kept:
         """Items of ``ratings`` with their number of rows ``n`` and features."""
         counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-        return ws.keep(lookup(counts, self.ladder.features(items), ["item_id"], balanced=True), "rated-items")
+        return ws.keep(lookup(counts, self.ladder.features(ws, items), ["item_id"], balanced=True), "rated-items")
 
     def transform(
-        self, ws: Workspace, ratings: DataFrame, items: DataFrame, model: str = "8", output: str = "prediction"
+        self, ws: Workspace, ratings: DataFrame, items: DataFrame | Kept, model: str = "8", output: str = "prediction"
     ) -> DataFrame:
         """``ratings`` with its effects and the prediction of a model; NULL where an effect is unknown."""
         names = MODELS[model]
-        rated = self._rated_items(ws, ratings, items).df
-        table = lookup(rated, _without_n(self.effects["item"]), ["item_id"], balanced=True)
+        rated = self._rated_items(ws, ratings, items)
+        table = lookup(rated.df, _without_n(self.effects["item"]), ["item_id"], balanced=True)
         if "group" in names:
-            table = table.withColumn("group", self._group(ws, table.select("profile", "n")))
+            table = table.withColumn("group", self._group(ws, rated))
         for rung in RUNGS:
             if rung.name in names and rung.key != "year_stamp":
                 table = apply_effect(table, self.effects[rung.name], rung.key)
@@ -243,7 +250,7 @@ class LadderModel:
         scored = ratings.withColumn("year_stamp", rating_year(F.col("ts")))
         if from_item:
             scored = lookup(
-                scored, terms, ["item_id"], heavy=lambda: heavy_keys(rated, ["item_id"], weight=F.col("n"))
+                scored, terms, ["item_id"], heavy=lambda: heavy_keys(rated.df, ["item_id"], weight=F.col("n"))
             )
             if not is_small(terms):
                 scored = ws.table(scored, "with-items")
@@ -260,7 +267,7 @@ class LadderModel:
         self,
         ws: Workspace,
         ratings: DataFrame,
-        items: DataFrame,
+        items: DataFrame | Kept,
         models: Sequence[str] = COMPARED,
         na: str = "propagate",
     ) -> DataFrame:
@@ -271,9 +278,10 @@ class LadderModel:
         """
         check_na(na)
         needed = {name for model in models for name in MODELS[model]}
-        cells = self._error_cells(ws, _narrow(ratings), items, needed)
+        kept = self._error_cells(ws, _narrow(ratings), items, needed)
+        cells = kept.df
         if "group" in needed:
-            cells = cells.withColumn("group", self._group(ws, cells.select("profile", "n")))
+            cells = cells.withColumn("group", self._group(ws, kept))
         for rung in RUNGS:
             if rung.name in needed:
                 cells = apply_effect(cells, self.effects[rung.name], rung.key)
@@ -301,7 +309,7 @@ class LadderModel:
             )
         return wide.select(F.inline(F.array(*rows)))
 
-    def _error_cells(self, ws: Workspace, rows: DataFrame, items: DataFrame, needed: set[str]) -> DataFrame:
+    def _error_cells(self, ws: Workspace, rows: DataFrame, items: DataFrame | Kept, needed: set[str]) -> Kept:
         """Residual moments after the mean (1), the item (2) and the user (3) effect, per feature combination."""
         residual = F.col("rating") - F.lit(self.mean)
         moments = [F.count(F.lit(1)).alias("n"), *_moments("1", residual)]
@@ -309,43 +317,44 @@ class LadderModel:
             rows = apply_effect(rows, self.effects["user"], "user_id")
             moments += _moments("3", residual - _effect("user"))
         per_item = rows.groupBy("item_id", "year_stamp").agg(*moments)
-        listed = lookup(per_item, self.ladder.features(items), ["item_id"], balanced=True)
-        with_item = lookup(listed, _without_n(self.effects["item"]), ["item_id"], balanced=True)
+        with_item = lookup(per_item, _without_n(self.effects["item"]), ["item_id"], balanced=True)
+        listed = lookup(with_item, self.ladder.features(ws, items), ["item_id"], balanced=True)
         sums = [F.sum(c).alias(c) for c in ("n", "n1", "s1", "q1")] + _shifted("1", "2", _effect("item"))
         if "user" in needed:
             sums += _shifted("3", "3", _effect("item"))
-        return ws.keep(with_item.groupBy(*_FEATURES).agg(*sums), "error-cells").df
+        return ws.keep(listed.groupBy(*_FEATURES).agg(*sums), "error-cells")
 
     def save(self, path: str) -> None:
         """Write the model below ``path`` as Parquet tables."""
         for name, table in self.effects.items():
             table.df.write.parquet(f"{path}/effect-{name}")
-        if self.labels:
-            self.labels.df.write.parquet(f"{path}/effect-label")
+        if self.label_rows:
+            self.labels.write.parquet(f"{path}/effect-label")
         spark = self.effects["item"].df.sparkSession
         ladder = self.ladder
         settings = (
             self.mean, self.breaks, ladder.as_of_year, list(ladder.vocabulary), ladder.match, ladder.bins,
-            ladder.binning, list(self.effects), self.labels is not None,
+            ladder.binning, ladder.merge_bins, list(self.effects), bool(self.label_rows),
         )
         spark.createDataFrame(
             [settings],
             "mean double, breaks array<double>, as_of_year int, vocabulary array<string>,"
-            " match string, bins int, binning string, effects array<string>, labelled boolean",
+            " match string, bins int, binning string, merge_bins boolean, effects array<string>, labelled boolean",
         ).write.parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> LadderModel:
         s = spark.read.parquet(f"{path}/settings").first()
-        ladder = EffectLadder(s.as_of_year, tuple(s.vocabulary), s.match, s.bins, s.binning)
+        ladder = EffectLadder(s.as_of_year, tuple(s.vocabulary), s.match, s.bins, s.binning, s.merge_bins)
 
         def table(name: str) -> Kept:
             df = spark.read.parquet(f"{path}/effect-{name}")
             return Kept(df, df.count(), measured_bytes(df), f"{path}/effect-{name}")
 
         effects = {name: table(name) for name in s.effects}
+        labels = spark.read.parquet(f"{path}/effect-label").collect() if s.labelled else None
         breaks = None if s.breaks is None else list(s.breaks)
-        return cls(ladder, s.mean, effects, table("label") if s.labelled else None, breaks)
+        return cls(ladder, s.mean, effects, labels, breaks)
 
 
 def _without_n(effect: Kept) -> Kept:

@@ -213,7 +213,7 @@ def q_hist_user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _train_items(study: Study) -> DataFrame:
     """Items rated in train with their number of ratings and their features."""
     counts = count_per_key(study.inner.train, "item_id", "n")
-    return lookup(counts, study.ladder.features(study.items), ["item_id"], balanced=True)
+    return lookup(counts, study.features, ["item_id"], balanced=True)
 
 
 def q_hist_release_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,14 +278,14 @@ def _effect_query(name: str) -> Query:
 
 
 def q_label_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _study(spark, sf_dir).fit(["4"]).labels.df
+    labels = _study(spark, sf_dir).fit(["4"]).labels
     return labels.select("position", "label", "flag", _round("effect").alias("effect"), "n")
 
 
 def q_label_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
-    scores = study.fit(["4"]).item_features(study.items)
-    return scores.select("item_id", _round("genre_score").alias("genre_score"))
+    score = study.fit(["4"]).score()
+    return study.features.df.select("item_id", _round(score).alias("genre_score"))
 
 
 def q_score_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +300,7 @@ def q_score_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
     model = study.fit(["4"])
     parts = [
-        model.item_groups(study.ws, ratings, study.items).withColumn("side", F.lit(side))
+        model.item_groups(study.ws, ratings, study.features).withColumn("side", F.lit(side))
         for side, ratings in (("train", study.inner.train), ("test", study.inner.holdout))
     ]
     return parts[0].unionByName(parts[1]).select("side", "item_id", "group", "n")
@@ -308,13 +308,13 @@ def q_score_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_freq_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
-    groups = study.fit(["4"]).item_groups(study.ws, study.inner.train, study.items)
+    groups = study.fit(["4"]).item_groups(study.ws, study.inner.train, study.features)
     return frequencies(groups, "group", weight="n")
 
 
 def q_hist_label_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
-    groups = study.fit(["4"]).item_groups(study.ws, study.inner.train, study.items)
+    groups = study.fit(["4"]).item_groups(study.ws, study.inner.train, study.features)
     return _rounded_edges(histogram(study.ws, groups, F.col("genre_score"), weight=F.col("n")))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starrung.operators.split import Split, quartile_stratum, split_and_repair
 from starrung.plans.ladder import COMPARED, MODELS, EffectLadder, LadderModel
 from starrung.sources.star import VIEW_LABELS, items_of, joined, ratings_of
-from starrung.workspace import Workspace
+from starrung.workspace import Kept, Workspace
 
 KNOWN_KEYS = ("item_id", "user_id")
 
@@ -65,6 +65,11 @@ class Study:
         """The ratings to work with into train and test."""
         return self._split(self.outer.train, 1, add_back=False)
 
+    @cached_property
+    def features(self) -> Kept:
+        """Features per item."""
+        return self.ladder.features(self.ws, self.items)
+
     @cached_property
     def model(self) -> LadderModel:
         """All effects, fitted on train."""
@@ -72,23 +77,23 @@ class Study:
 
     def fit(self, models: Sequence[str]) -> LadderModel:
         """Only the effects that ``models`` need, fitted on train."""
-        return self.ladder.fit(self.ws, self.inner.train, self.items, models)
+        return self.ladder.fit(self.ws, self.inner.train, self.features, models)
 
     def compare(self, models: Sequence[str] = COMPARED, na: str = "propagate") -> DataFrame:
         """RMSE of the models on test."""
-        return self.fit(models).evaluate(self.ws, self.inner.holdout, self.items, models, na)
+        return self.fit(models).evaluate(self.ws, self.inner.holdout, self.features, models, na)
 
     def refit(self, model: str = "8") -> LadderModel:
         """The chosen model fitted again on everything but the final hold-out."""
-        return self.ladder.fit(self.ws, self.outer.train, self.items, [model])
+        return self.ladder.fit(self.ws, self.outer.train, self.features, [model])
 
     def final_score(self, model: str = "8") -> DataFrame:
         """RMSE of the refitted model on the final hold-out."""
-        return self.refit(model).evaluate(self.ws, self.outer.holdout, self.items, [model])
+        return self.refit(model).evaluate(self.ws, self.outer.holdout, self.features, [model])
 
     def final_predictions(self, model: str = "8") -> DataFrame:
         """The final hold-out with the predictions of the refitted model."""
-        return self.refit(model).transform(self.ws, self.outer.holdout, self.items, model)
+        return self.refit(model).transform(self.ws, self.outer.holdout, self.features, model)
 
     def split_counts(self) -> DataFrame:
         """Number of ratings on every side of both splits."""

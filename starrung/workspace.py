@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -60,6 +60,7 @@ class Kept:
     rows: int
     bytes: int
     path: str
+    totals: dict = field(default_factory=dict)
 
 
 class Workspace:
@@ -86,15 +87,22 @@ class Workspace:
         df.write.partitionBy(*partition_by).parquet(path)
         return self._read(df.schema, path, partition_by)
 
-    def keep(self, df: DataFrame, name: str) -> Kept:
-        """Write ``df`` once and measure it on the way; for tables that may be looked up."""
+    def keep(self, df: DataFrame, name: str, **totals: Column) -> Kept:
+        """Write ``df`` once and measure it on the way; for tables that may be looked up.
+
+        ``totals`` are further aggregates to observe.
+        """
         path = self.path(name)
         seen = Observation()
         df.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"),
+            *[column.alias(total) for total, column in totals.items()],
         ).write.parquet(path)
-        sizes = seen.get
-        return Kept(self._read(df.schema, path, ()), sizes.get("rows") or 0, sizes.get("bytes") or 0, path)
+        found = seen.get
+        back = self._read(df.schema, path, ())
+        return Kept(back, found.get("rows") or 0, found.get("bytes") or 0, path, {t: found.get(t) for t in totals})
 
     def _read(self, schema: T.StructType, path: str, partition_by: tuple[str, ...]) -> DataFrame:
         fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]

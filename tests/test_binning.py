@@ -3,6 +3,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from starrung.operators import binning
 from starrung.operators.binning import assign_bins, histogram, quantile_breaks
 from starrung.operators.ordering import with_running_total
 
@@ -13,19 +14,21 @@ def frame(spark, values):
 
 @pytest.mark.parametrize("parts", [4, 10])
 @pytest.mark.parametrize("single", [1_000_000, 0])
-def test_breaks_equal_linear_quantiles(spark, ws, parts, single):
+def test_breaks_equal_linear_quantiles(spark, ws, monkeypatch, parts, single):
+    monkeypatch.setattr(binning, "SINGLE_TASK_VALUES", single)
     values = np.random.default_rng(3).normal(size=501).round(3)
-    got = quantile_breaks(ws, frame(spark, values.tolist()), F.col("x"), parts, single_task_values=single)
+    got = quantile_breaks(ws, frame(spark, values.tolist()), F.col("x"), parts)
     assert got == pytest.approx(np.quantile(values, np.linspace(0, 1, parts + 1)).tolist(), abs=1e-12)
 
 
 @pytest.mark.parametrize("single", [1_000_000, 0])
-def test_breaks_with_a_hot_value_and_weights(spark, ws, single):
+def test_breaks_with_a_hot_value_and_weights(spark, ws, monkeypatch, single):
+    monkeypatch.setattr(binning, "SINGLE_TASK_VALUES", single)
     values = [1.0] * 400 + list(map(float, range(2, 802)))
     weighted = spark.createDataFrame([(1.0, 400), *[(float(v), 1) for v in range(2, 802)]], "x double, w bigint")
     expected = np.quantile(values, [0, 0.5, 1]).tolist()
-    plain = quantile_breaks(ws, frame(spark, values), F.col("x"), 2, single_task_values=single)
-    by_weight = quantile_breaks(ws, weighted, F.col("x"), 2, weight=F.col("w"), single_task_values=single)
+    plain = quantile_breaks(ws, frame(spark, values), F.col("x"), 2, rows=1200)
+    by_weight = quantile_breaks(ws, weighted, F.col("x"), 2, weight=F.col("w"), rows=801)
     assert plain == by_weight == pytest.approx(expected)
 
 

@@ -71,5 +71,5 @@ def test_fused_label_effects_equal_separate_groupings(ratings):
 def test_label_score_adds_the_effect_of_every_flag(spark):
     df = spark.createDataFrame([("10",), ("01",), (None,)], "profile string")
     effects = {(1, 1): 1.0, (1, 0): 2.0, (1, None): 4.0, (2, 0): 8.0, (2, None): 16.0}
-    got = df.select(label_score(F.col("profile"), effects, 2)).collect()
+    got = df.select(label_score("profile", effects, 2)).collect()
     assert [r[0] for r in got] == [9.0, None, 20.0]

@@ -135,7 +135,7 @@ def test_save_and_load(spark, dense, tmp_path):
     assert got == pytest.approx(TEST_RMSE, abs=1e-6)
     dense.fit(["2"]).save(str(tmp_path / "small"))
     small = LadderModel.load(spark, str(tmp_path / "small"))
-    assert set(small.effects) == {"item"} and small.labels is None and small.breaks is None
+    assert set(small.effects) == {"item"} and small.label_rows is None and small.breaks is None
 
 
 def test_refit_on_sparse_ratings(sparse):
