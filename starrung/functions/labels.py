@@ -59,13 +59,16 @@ def label_flag(labels: Column, label: str, match: str = "substring") -> Column:
     """1 or 0 for a label, NULL for a NULL label string.
 
     ``substring`` is case-sensitive containment, so ``old`` is found in
-    ``cold``; ``token`` compares whole labels.
+    ``cold``; ``token`` compares whole labels; ``regex`` takes the label as a
+    pattern, in which parentheses only group.
     """
+    if match == "regex":
+        return F.rlike(labels, F.lit(label)).cast("int")
     if match == "substring":
         return F.contains(labels, F.lit(label)).cast("int")
     if match == "token":
         return F.array_contains(split_labels(labels), label).cast("int")
-    raise ValueError(f"match must be 'substring' or 'token', not {match!r}")
+    raise ValueError(f"match must be 'substring', 'token' or 'regex', not {match!r}")
 
 
 def label_flags(labels: Column, vocabulary: Sequence[str], match: str = "substring") -> list[Column]:

@@ -8,27 +8,22 @@ are never moved. Both parts together are the whole result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starrung.workspace import Kept, Workspace, row_bytes
+from starrung.workspace import Kept, Workspace, measured
 
 BROADCAST_BYTES = 64 << 20
 HEAVY_ROWS = 1_000_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` as a broadcast relation, by aggregating over it."""
-    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
-
-
-def is_small(table: DataFrame | Kept) -> bool:
+def is_small(table: Kept) -> bool:
     """Whether the measured size of ``table`` allows a broadcast."""
-    return (table.bytes if isinstance(table, Kept) else measured_bytes(table)) <= BROADCAST_BYTES
+    return table.bytes <= BROADCAST_BYTES
 
 
 def heavy_limit(df: DataFrame) -> int:
@@ -50,11 +45,21 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = Non
     return rows.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on shared column names where NULL matches NULL; keys appear once."""
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, nulls: Collection[str] | None = None
+) -> DataFrame:
+    """Equi-join on shared column names where NULL matches NULL; keys appear once.
+
+    ``nulls`` names the columns in which ``right`` may have NULLs. For the other
+    keys plain equality gives the same rows and a leaner hash table.
+    """
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    condition = reduce(and_, [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
+
+    def equal(key: str) -> Column:
+        other = renamed[f"__{key}"]
+        return left[key].eqNullSafe(other) if nulls is None or key in nulls else left[key] == other
+
+    return left.join(renamed, reduce(and_, map(equal, keys)), how).drop(*[f"__{k}" for k in keys])
 
 
 def lookup(
@@ -73,23 +78,20 @@ def lookup(
     no key of ``rows`` is frequent, so that none has to be taken out. Beyond the
     bound ``rows`` is read up to three times; with ``ws`` it is written first.
     """
-    side = table.df if isinstance(table, Kept) else table
+    if not isinstance(table, Kept):
+        table = measured(table)
     if is_small(table):
-        return null_safe_join(rows, F.broadcast(side), keys, how)
+        return null_safe_join(rows, F.broadcast(table.df), keys, how, table.nulls)
     if balanced:
-        return null_safe_join(rows, side, keys, how)
+        return null_safe_join(rows, table.df, keys, how, table.nulls)
     if ws is not None:
         rows = ws.table(rows, "rows")
     heavy = F.broadcast(heavy() if heavy else heavy_keys(rows, keys))
     # The same join type on the short key list says what becomes of each heavy row.
-    outcome = null_safe_join(heavy, _only(side, heavy, keys), keys, how)
+    outcome = null_safe_join(heavy, null_safe_join(table.df, heavy, keys, "left_semi"), keys, how)
     stay = null_safe_join(rows, F.broadcast(outcome), keys, "inner")
-    move = null_safe_join(null_safe_join(rows, heavy, keys, "left_anti"), side, keys, how)
-    return stay.unionByName(move)
-
-
-def _only(side: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return null_safe_join(side, heavy, keys, "left_semi")
+    move = null_safe_join(rows, heavy, keys, "left_anti")
+    return stay.unionByName(null_safe_join(move, table.df, keys, how, table.nulls))
 
 
 def semi_join(ws: Workspace, rows: DataFrame, other: DataFrame, key: str) -> DataFrame:

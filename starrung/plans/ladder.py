@@ -21,9 +21,9 @@ from starrung.functions import MOVIE_LABELS, rating_year
 from starrung.functions.measures import check_na
 from starrung.operators.binning import assign_bins, quantile_breaks
 from starrung.operators.effects import apply_effect, fit_effect_from_sums, label_effects, label_score
-from starrung.operators.joins import heavy_keys, is_small, lookup, measured_bytes
+from starrung.operators.joins import heavy_keys, is_small, lookup
 from starrung.plans.features import item_features
-from starrung.workspace import Kept, Workspace
+from starrung.workspace import Kept, Workspace, measured
 
 
 @dataclass(frozen=True)
@@ -347,11 +347,7 @@ class LadderModel:
         s = spark.read.parquet(f"{path}/settings").first()
         ladder = EffectLadder(s.as_of_year, tuple(s.vocabulary), s.match, s.bins, s.binning, s.merge_bins)
 
-        def table(name: str) -> Kept:
-            df = spark.read.parquet(f"{path}/effect-{name}")
-            return Kept(df, df.count(), measured_bytes(df), f"{path}/effect-{name}")
-
-        effects = {name: table(name) for name in s.effects}
+        effects = {name: measured(spark.read.parquet(f"{path}/effect-{name}")) for name in s.effects}
         labels = spark.read.parquet(f"{path}/effect-label").collect() if s.labelled else None
         breaks = None if s.breaks is None else list(s.breaks)
         return cls(ladder, s.mean, effects, labels, breaks)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
@@ -54,15 +55,38 @@ def row_bytes(df: DataFrame) -> Column:
 
 @dataclass(frozen=True)
 class Kept:
-    """A written table together with its measured size."""
+    """A table together with its measured size, and the columns in which it has NULLs."""
 
     df: DataFrame
     rows: int
     bytes: int
-    path: str
+    nulls: frozenset[str]
     totals: dict = field(default_factory=dict)
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("__rows"),
+        F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("__bytes"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__null_{c}") for c in df.columns],
+    ]
+
+
+def _kept(df: DataFrame, found: dict, totals: Iterable[str] = ()) -> Kept:
+    return Kept(
+        df,
+        found.get("__rows") or 0,
+        found.get("__bytes") or 0,
+        frozenset(c for c in df.columns if found.get(f"__null_{c}")),
+        {total: found.get(total) or 0 for total in totals},
+    )
+
+
+def measured(df: DataFrame) -> Kept:
+    """``df`` as it is, measured by one aggregation over it."""
+    return _kept(df, df.agg(*_measures(df)).first().asDict())
+
+
 class Workspace:
     """Owns the intermediate tables of one run; use it as a context manager to drop them."""
 
@@ -90,19 +114,13 @@ class Workspace:
     def keep(self, df: DataFrame, name: str, **totals: Column) -> Kept:
         """Write ``df`` once and measure it on the way; for tables that may be looked up.
 
-        ``totals`` are further aggregates to observe.
+        ``totals`` are further sums to observe.
         """
         path = self.path(name)
         seen = Observation()
-        df.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"),
-            *[column.alias(total) for total, column in totals.items()],
-        ).write.parquet(path)
-        found = seen.get
-        back = self._read(df.schema, path, ())
-        return Kept(back, found.get("rows") or 0, found.get("bytes") or 0, path, {t: found.get(t) for t in totals})
+        extra = [column.alias(total) for total, column in totals.items()]
+        df.observe(seen, *_measures(df), *extra).write.parquet(path)
+        return _kept(self._read(df.schema, path, ()), seen.get, totals)
 
     def _read(self, schema: T.StructType, path: str, partition_by: tuple[str, ...]) -> DataFrame:
         fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]

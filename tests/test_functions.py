@@ -45,6 +45,14 @@ def test_label_flag(spark, genres, label, substring, token):
     assert one(spark, genres, "string", lambda x: fn.label_flag(x, label, "token")) == token
 
 
+def test_label_as_pattern(spark):
+    label = "(no genres listed)"
+    assert one(spark, "no genres listed", "string", lambda x: fn.label_flag(x, label, "regex")) == 1
+    assert one(spark, "no genres listed", "string", lambda x: fn.label_flag(x, label)) == 0
+    assert one(spark, "Sci-Fi|War", "string", lambda x: fn.label_flag(x, "Sci-Fi", "regex")) == 1
+    assert one(spark, None, "string", lambda x: fn.label_flag(x, label, "regex")) is None
+
+
 def test_label_flag_mode_is_checked():
     with pytest.raises(ValueError):
         fn.label_flag(F, "a", "fuzzy")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starrung.operators import copies, joins
 from starrung.operators.copies import expand_copies
 from starrung.operators.joins import heavy_keys, lookup, natural_anti_join, semi_join
-from starrung.workspace import Workspace
+from starrung.workspace import Workspace, measured
 
 
 @pytest.fixture
@@ -39,6 +39,14 @@ def test_null_matches_null(skewed, table):
     assert got.count() == 3000
 
 
+def test_plain_equality_unless_the_table_has_null_keys(skewed, table):
+    for side in (table, table.where("k is not null")):
+        joined = lookup(skewed, side, ["k"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert ("coalesce(k" in plan) == (side is table)
+        assert joined.where("t is null").count() == skewed.count() - lookup(skewed, side, ["k"], "inner").count()
+
+
 def test_heavy_keys_are_bounded(skewed, no_broadcast):
     found = [r[0] for r in heavy_keys(skewed, ["k"]).collect()]
     assert len(found) == 5
@@ -78,12 +86,14 @@ def test_expand_copies_in_chunks(spark):
 
 def test_measured_size_decides(spark, monkeypatch):
     df = spark.range(1000).withColumn("s", F.lit("x" * 100))
-    size = joins.measured_bytes(df)
+    table = measured(df)
+    size = table.bytes
+    assert table.rows == 1000 and table.nulls == frozenset()
     assert 1000 * 108 <= size <= 1000 * 300
     monkeypatch.setattr(joins, "BROADCAST_BYTES", size - 1)
-    assert not joins.is_small(df)
+    assert not joins.is_small(table)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", size)
-    assert joins.is_small(df)
+    assert joins.is_small(table)
 
 
 def test_kept_tables_are_measured_and_released(spark):
@@ -92,11 +102,12 @@ def test_kept_tables_are_measured_and_released(spark):
         empty = ws.keep(spark.range(10).where("id > 30"), "none")
         assert (kept.rows, empty.rows, empty.bytes) == (6, 0, 0)
         assert kept.bytes >= 6 * 8
+        path = ws.root
         assert empty.df.count() == 0
         parts = ws.table(spark.range(10).withColumn("odd", F.col("id") % 2 == 1), "parts", ("odd",))
         assert parts.where("odd").count() == 5
     with pytest.raises(Exception):
-        spark.read.parquet(kept.path)
+        spark.read.parquet(path)
 
 
 def test_workspace_uses_the_folder_of_the_session(spark):
