@@ -100,8 +100,8 @@ def split_ctes(source: str, names: tuple[str, str, str, str], seed: int, fractio
 {train} as materialized ({back})"""
 
 
-OUTER = split_ctes("ratings", ("drawn1", "rest1", "validation", "edx"), 1, 0.1, True)
-INNER = split_ctes("edx", ("drawn2", "rest2", "test", "train"), 42, 0.2, False)
+OUTER = split_ctes("ratings", ("drawn1", "rest1", "validation", "work"), 1, 0.1, True)
+INNER = split_ctes("work", ("drawn2", "rest2", "test", "train"), 42, 0.2, False)
 
 
 def ladder_ctes(train: str, test: str) -> str:
@@ -276,7 +276,7 @@ trf as materialized (
   select t.*, num_genre, release_year, age_group, sequel from train t left join feat f on t.item_id = f.item_id
 )""")
     ladder = (*inner, FEATURES, ladder_ctes("train", "test"))
-    final = (*outer, FEATURES, ladder_ctes("edx", "validation"))
+    final = (*outer, FEATURES, ladder_ctes("work", "validation"))
     flags = ", ".join(
         f"cast(contains(genres, '{label}') as int) as {name}" for label, name in zip(LABELS, FLAG_NAMES)
     )
@@ -289,11 +289,11 @@ select 'rows' as part, count(*) as n from ratings
 union all select 'drawn', count(*) from drawn1
 union all select 'validation', count(*) from validation
 union all select 'given_back', (select count(*) from drawn1) - count(*) from validation
-union all select 'edx', count(*) from edx
+union all select 'work', count(*) from work
 union all select 'train', count(*) from train
 union all select 'test_drawn', count(*) from drawn2
 union all select 'test', count(*) from test"""
-    sides1 = "select row_key, 'edx' as side from edx union all select row_key, 'validation' from validation"
+    sides1 = "select row_key, 'work' as side from work union all select row_key, 'validation' from validation"
     sides2 = "select row_key, 'train' as side from train union all select row_key, 'test' from test"
     sql = {
         "read_ratings": _with(*base, select="select user_id, item_id, rating, ts from ratings"),
@@ -326,22 +326,22 @@ where not exists (select 1 from validation v where v.user_id is not distinct fro
   and v.item_id is not distinct from d.item_id and v.rating is not distinct from d.rating
   and v.ts is not distinct from d.ts and v.row_key is not distinct from d.row_key)"""),
         "sample_keys": _with(*outer, select="""
-select user_id from (select distinct user_id from edx) order by md5(concat_ws(':', '7', user_id)) limit 10"""),
+select user_id from (select distinct user_id from work) order by md5(concat_ws(':', '7', user_id)) limit 10"""),
         "shuffle_keys": _with(*outer, select="""
 select item_id, row_number() over (order by md5(concat_ws(':', '7', item_id))) as position
-from (select distinct item_id from edx)"""),
+from (select distinct item_id from work)"""),
         "preview": _with(*outer, select="""
-select e.*, title, genres from (select * from edx order by row_key limit 6) e
+select e.*, title, genres from (select * from work order by row_key limit 6) e
 left join items i on e.item_id = i.item_id"""),
         "distinct_counts": _with(*outer, select="""
-select count(distinct user_id) as unique_users, count(distinct item_id) as unique_items from edx"""),
-        "ratings_per_item": _with(*outer, select="select item_id, count(*) as num_ratings from edx group by 1"),
-        "ratings_per_user": _with(*outer, select="select user_id, count(*) as num_ratings from edx group by 1"),
+select count(distinct user_id) as unique_users, count(distinct item_id) as unique_items from work"""),
+        "ratings_per_item": _with(*outer, select="select item_id, count(*) as num_ratings from work group by 1"),
+        "ratings_per_user": _with(*outer, select="select user_id, count(*) as num_ratings from work group by 1"),
         "hist_item_counts": _with(
-            *outer, "c as (select item_id, count(*) as k from edx group by 1)", _histogram("c", "k", "30"),
+            *outer, "c as (select item_id, count(*) as k from work group by 1)", _histogram("c", "k", "30"),
             select="select * from hist"),
         "hist_user_counts": _with(
-            *outer, "c as (select user_id, count(*) as k from edx group by 1)", _histogram("c", "k", "40"),
+            *outer, "c as (select user_id, count(*) as k from work group by 1)", _histogram("c", "k", "40"),
             select="select * from hist"),
         "hist_release_year": _with(
             *train_features, _histogram("trf", "release_year", STURGES), select="select * from hist"),
@@ -355,13 +355,13 @@ select age_group, count(*) as count from trf where age_group is not null group b
 select sequel, count(*) as count from trf where sequel is not null group by 1 order by 1"""),
         "label_vocabulary": _with(*outer, select="""
 select distinct unnest(string_split(genres, '|')) as label
-from edx join items using (item_id)"""),
+from work join items using (item_id)"""),
         "sequel_titles": _with(*inner, select="""
 select title from train t join items i on t.item_id = i.item_id
 where contains(title, ':') order by row_key limit 20"""),
         "sparse_pivot": _with(*outer, """
-u as (select user_id from (select distinct user_id from edx) order by md5(concat_ws(':', '7', user_id)) limit 10),
-r as materialized (select user_id, item_id, rating from edx where user_id in (select user_id from u)),
+u as (select user_id from (select distinct user_id from work) order by md5(concat_ws(':', '7', user_id)) limit 10),
+r as materialized (select user_id, item_id, rating from work where user_id in (select user_id from u)),
 p as materialized (
   select item_id, row_number() over (order by md5(concat_ws(':', '7', item_id))) as k
   from (select distinct item_id from r)

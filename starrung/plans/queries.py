@@ -28,7 +28,7 @@ from starrung.plans.ladder import MODELS
 from starrung.plans.study import Study
 from starrung.sources.delimited import SEPARATOR, describe_schema, read_items, read_ratings
 from starrung.sources.star import VIEW_LABELS, items_of, joined, ratings_of
-from starrung.workspace import Workspace
+from starrung.workspace import hadoop_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,26 +40,53 @@ def _round(value: Column | str) -> Column:
     return F.round(value, 6)
 
 
+_studies: dict[tuple, Study] = {}
+
+
 def _study(spark: SparkSession, sf_dir: str, sparse: bool = False) -> Study:
-    return Study.of_tables(spark, sf_dir, sparse=sparse, as_of_year=AS_OF_YEAR)
+    """The study of a directory, made once per session so that queries share its splits and fits.
+
+    It is made anew if its tables are gone or the files it was made from have changed.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, sparse, *_versions(spark, sf_dir))
+    study = _studies.get(key)
+    if study is None or study.ws.spark is not spark or not study.ws.intact():
+        study = _studies[key] = Study.of_tables(spark, sf_dir, sparse=sparse, as_of_year=AS_OF_YEAR)
+    return study
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """Size and time of change of the files that a study reads."""
+    found = []
+    for name in ("lineitem", "orders", "part"):
+        path, files = hadoop_path(spark, f"{sf_dir}/{name}.parquet")
+        found.append((files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()))
+    return found
+
+
+def forget_studies() -> None:
+    """Delete the tables that queries have shared so far; results not read yet are lost."""
+    for study in _studies.values():
+        study.ws.release()
+    _studies.clear()
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joined(Workspace(spark), ratings_of(spark, sf_dir), items_of(spark, sf_dir))
+    return joined(_study(spark, sf_dir).ws, ratings_of(spark, sf_dir), items_of(spark, sf_dir))
 
 
 # Sources
 
 
 def q_read_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Workspace(spark).path("ratings.dat")
+    path = _study(spark, sf_dir).ws.path("ratings.dat")
     fields = [F.col(c).cast("string") for c in ("user_id", "item_id", "rating", "ts")]
     ratings_of(spark, sf_dir).select(F.concat_ws(SEPARATOR, *fields)).write.text(path)
     return read_ratings(spark, path)
 
 
 def q_read_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Workspace(spark).path("items.dat")
+    path = _study(spark, sf_dir).ws.path("items.dat")
     fields = [F.col("item_id").cast("string"), F.col("title"), F.col("genres")]
     items_of(spark, sf_dir).select(F.concat_ws(SEPARATOR, *fields)).write.text(path)
     return read_items(spark, path)
@@ -77,7 +104,7 @@ def q_ratings_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = Workspace(spark)
+    ws = _study(spark, sf_dir).ws
     wide = rating_features(ws, ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
     return wide.select("row_key", "num_genre", "release_year", "age_group", "sequel", "year_stamp")
 
@@ -125,12 +152,12 @@ def _sides(**sides: DataFrame) -> DataFrame:
 
 def q_split_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     outer = _study(spark, sf_dir).outer
-    return _sides(edx=outer.train, validation=outer.holdout)
+    return _sides(work=outer.train, validation=outer.holdout)
 
 
 def q_split_holdout_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     outer = _study(spark, sf_dir, sparse=True).outer
-    return _sides(edx=outer.train, validation=outer.holdout)
+    return _sides(work=outer.train, validation=outer.holdout)
 
 
 def q_split_test(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,8 +209,8 @@ def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edx = _study(spark, sf_dir).outer.train
-    return distinct_counts(edx, unique_users="user_id", unique_items="item_id")
+    work = _study(spark, sf_dir).outer.train
+    return distinct_counts(work, unique_users="user_id", unique_items="item_id")
 
 
 def q_ratings_per_item(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +285,7 @@ def q_sparse_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_apply_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = Workspace(spark)
+    ws = _study(spark, sf_dir).ws
     wide = rating_features(ws, ratings_of(spark, sf_dir), items_of(spark, sf_dir), VIEW_LABELS, AS_OF_YEAR)
     rows = ws.table(wide.select("row_key", "rating", "release_year"), "rows")
     residual = F.col("rating") - F.lit(global_mean(rows))

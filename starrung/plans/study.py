@@ -36,6 +36,8 @@ class Study:
     ):
         self.ws, self.source, self.items, self.ladder = ws, ratings, items, ladder
         self.row_key, self.seeds, self.fractions = row_key, seeds, fractions
+        self._fitted: list[LadderModel] = []
+        self._refitted: list[LadderModel] = []
 
     @classmethod
     def of_tables(
@@ -76,8 +78,16 @@ class Study:
         return self.fit(tuple(MODELS))
 
     def fit(self, models: Sequence[str]) -> LadderModel:
-        """Only the effects that ``models`` need, fitted on train."""
-        return self.ladder.fit(self.ws, self.inner.train, self.features, models)
+        """The effects that ``models`` need, fitted on train; an earlier fit that has them is used again."""
+        return self._fit_once(self._fitted, self.inner.train, models)
+
+    def _fit_once(self, earlier: list[LadderModel], ratings: DataFrame, models: Sequence[str]) -> LadderModel:
+        wanted = {name for model in models for name in MODELS[model]}
+        for model in earlier:
+            if wanted <= set(model.effects):
+                return model
+        earlier.append(self.ladder.fit(self.ws, ratings, self.features, models))
+        return earlier[-1]
 
     def compare(self, models: Sequence[str] = COMPARED, na: str = "propagate") -> DataFrame:
         """RMSE of the models on test."""
@@ -85,7 +95,7 @@ class Study:
 
     def refit(self, model: str = "8") -> LadderModel:
         """The chosen model fitted again on everything but the final hold-out."""
-        return self.ladder.fit(self.ws, self.outer.train, self.features, [model])
+        return self._fit_once(self._refitted, self.outer.train, [model])
 
     def final_score(self, model: str = "8") -> DataFrame:
         """RMSE of the refitted model on the final hold-out."""
@@ -102,7 +112,7 @@ class Study:
             "drawn": self.outer.drawn,
             "validation": self.outer.holdout,
             "given_back": self.outer.removed,
-            "edx": self.outer.train,
+            "work": self.outer.train,
             "train": self.inner.train,
             "test_drawn": self.inner.drawn,
             "test": self.inner.holdout,

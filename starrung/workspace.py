@@ -40,6 +40,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root[0]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Size one row takes in a broadcast relation, as a column."""
     parts: list[Column] = []
@@ -126,8 +132,12 @@ class Workspace:
         fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]
         return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
+    def intact(self) -> bool:
+        """Whether the tables written so far are still there."""
+        path, files = hadoop_path(self.spark, self.root)
+        return not self._count or files.exists(path)
+
     def release(self) -> None:
         """Delete everything this workspace wrote."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = hadoop_path(self.spark, self.root)
+        files.delete(path, True)

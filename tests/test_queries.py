@@ -1,11 +1,12 @@
 """Every named query against its SQL on the same files."""
 
+import os
+
 import compare
 import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
-from starrung import Study
 from starrung.plans import queries
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -16,25 +17,6 @@ def con():
     return compare.connect(DATA)
 
 
-@pytest.fixture(autouse=True)
-def one_study(monkeypatch, dense, sparse):
-    """Queries share one study here; each makes its own otherwise."""
-    def study(spark, sf_dir, sparse_ratings=False, **kwargs):
-        return sparse if kwargs.get("sparse", sparse_ratings) else dense
-
-    monkeypatch.setattr(queries, "_study", study)
-    cached = {}
-    original = Study.fit
-
-    def fit(self, models):
-        key = (id(self), tuple(models))
-        if key not in cached:
-            cached[key] = original(self, models)
-        return cached[key]
-
-    monkeypatch.setattr(Study, "fit", fit)
-
-
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
@@ -48,3 +30,27 @@ def test_entry(spark):
     got = entry.entry(spark)
     assert got.columns == ["model", "title", "rmse"]
     assert got.count() == 8
+
+
+def test_queries_share_a_study_until_its_files_change(spark, tmp_path):
+    for name in ("lineitem", "orders", "part"):
+        (tmp_path / f"{name}.parquet").write_bytes(open(f"{DATA}/{name}.parquet", "rb").read())
+    first = queries._study(spark, str(tmp_path))
+    assert queries._study(spark, str(tmp_path)) is first
+    assert queries._study(spark, str(tmp_path), sparse=True) is not first
+    first.ratings.count()
+    assert queries._study(spark, str(tmp_path)) is first
+    os.utime(tmp_path / "part.parquet", (1, 1))
+    second = queries._study(spark, str(tmp_path))
+    assert second is not first
+    second.ratings.count()
+    second.ws.release()
+    assert queries._study(spark, str(tmp_path)) is not second
+
+
+def test_forgetting_studies_deletes_their_tables(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_studies", {})
+    study = queries._study(spark, DATA)
+    assert study.ratings.count() > 0 and study.ws.intact()
+    queries.forget_studies()
+    assert not study.ws.intact() and not queries._studies

@@ -114,9 +114,9 @@ def test_split_and_repair_keeps_every_row(spark, ws):
 @pytest.mark.parametrize(
     "study, sizes",
     [
-        ("dense", {"rows": 6000, "drawn": 602, "validation": 602, "given_back": 0, "edx": 5398, "train": 4317,
+        ("dense", {"rows": 6000, "drawn": 602, "validation": 602, "given_back": 0, "work": 5398, "train": 4317,
                    "test_drawn": 1081, "test": 1081}),
-        ("sparse", {"rows": 309, "drawn": 33, "validation": 23, "given_back": 10, "edx": 286, "train": 227,
+        ("sparse", {"rows": 309, "drawn": 33, "validation": 23, "given_back": 10, "work": 286, "train": 227,
                     "test_drawn": 59, "test": 33}),
     ],
 )
