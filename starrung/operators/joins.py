@@ -12,7 +12,7 @@ from collections.abc import Callable, Collection, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from starrung.workspace import Kept, Workspace, measured
@@ -31,8 +31,8 @@ def heavy_limit(df: DataFrame) -> int:
     return max(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = None) -> DataFrame:
-    """The most frequent keys, as a local table of ``heavy_limit`` rows at most.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = None) -> list[Row]:
+    """The most frequent keys, ``heavy_limit`` at most.
 
     ``weight`` is given when ``rows`` already has one row per key with its count.
     """
@@ -41,8 +41,7 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], weight: Column | None = Non
         else rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     )
     top = counted.where(F.col("__n") >= HEAVY_ROWS).orderBy(F.desc("__n")).limit(heavy_limit(rows))
-    found = top.select(*keys)
-    return rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    return top.select(*keys).collect()
 
 
 def null_safe_join(
@@ -67,7 +66,7 @@ def lookup(
     table: DataFrame | Kept,
     keys: Sequence[str],
     how: str = "left",
-    heavy: Callable[[], DataFrame] | None = None,
+    heavy: Callable[[], list[Row]] | None = None,
     balanced: bool = False,
     ws: Workspace | None = None,
 ) -> DataFrame:
@@ -86,11 +85,14 @@ def lookup(
         return null_safe_join(rows, table.df, keys, how, table.nulls)
     if ws is not None:
         rows = ws.table(rows, "rows")
-    heavy = F.broadcast(heavy() if heavy else heavy_keys(rows, keys))
+    found = heavy() if heavy else heavy_keys(rows, keys)
+    if not found:
+        return null_safe_join(rows, table.df, keys, how, table.nulls)
+    heavy_table = F.broadcast(rows.sparkSession.createDataFrame(found, rows.select(*keys).schema))
     # The same join type on the short key list says what becomes of each heavy row.
-    outcome = null_safe_join(heavy, null_safe_join(table.df, heavy, keys, "left_semi"), keys, how)
+    outcome = null_safe_join(heavy_table, null_safe_join(table.df, heavy_table, keys, "left_semi"), keys, how)
     stay = null_safe_join(rows, F.broadcast(outcome), keys, "inner")
-    move = null_safe_join(rows, heavy, keys, "left_anti")
+    move = null_safe_join(rows, heavy_table, keys, "left_anti")
     return stay.unionByName(null_safe_join(move, table.df, keys, how, table.nulls))
 
 

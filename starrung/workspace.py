@@ -9,6 +9,7 @@ decisions are based on later.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -22,6 +23,9 @@ from pyspark.sql import types as T
 # Fixed cost per row of a broadcast hash relation: row header, pointer, hash slot.
 ROW_OVERHEAD = 48
 
+# How long to wait for the observed values after a table was written.
+OBSERVATION_SECONDS = 60
+
 _local_root: list[str] = []
 
 
@@ -88,6 +92,15 @@ def _kept(df: DataFrame, found: dict, totals: Iterable[str] = ()) -> Kept:
     )
 
 
+def _observed(seen: Observation) -> dict | None:
+    """Observed values, or None if their event got lost, as can happen on a busy driver."""
+    found: list[dict] = []
+    waiter = threading.Thread(target=lambda: found.append(seen.get), daemon=True)
+    waiter.start()
+    waiter.join(OBSERVATION_SECONDS)
+    return found[0] if found else None
+
+
 def measured(df: DataFrame) -> Kept:
     """``df`` as it is, measured by one aggregation over it."""
     return _kept(df, df.agg(*_measures(df)).first().asDict())
@@ -126,7 +139,9 @@ class Workspace:
         seen = Observation()
         extra = [column.alias(total) for total, column in totals.items()]
         df.observe(seen, *_measures(df), *extra).write.parquet(path)
-        return _kept(self._read(df.schema, path, ()), seen.get, totals)
+        back = self._read(df.schema, path, ())
+        found = _observed(seen) or back.agg(*_measures(back), *extra).first().asDict()
+        return _kept(back, found, totals)
 
     def _read(self, schema: T.StructType, path: str, partition_by: tuple[str, ...]) -> DataFrame:
         fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]

@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from starrung import workspace
 from starrung.operators import copies, joins
 from starrung.operators.copies import expand_copies
 from starrung.operators.joins import heavy_keys, lookup, natural_anti_join, semi_join
@@ -29,8 +30,9 @@ def test_shuffled_lookup_equals_broadcast_lookup(ws, skewed, table, how, request
     assert rows(lookup(skewed, table, ["k"], how)) == small
     assert rows(lookup(skewed, ws.keep(table, "t"), ["k"], how, ws=ws)) == small
     assert rows(lookup(skewed, table, ["k"], how, balanced=True)) == small
-    given = lookup(skewed, table, ["k"], how, heavy=lambda: skewed.where("k = 0 or k is null").select("k").distinct())
+    given = lookup(skewed, table, ["k"], how, heavy=lambda: skewed.where("k = 0 or k is null").select("k").distinct().collect())
     assert rows(given) == small
+    assert rows(lookup(skewed, table, ["k"], how, heavy=lambda: [])) == small
 
 
 def test_null_matches_null(skewed, table):
@@ -48,7 +50,7 @@ def test_plain_equality_unless_the_table_has_null_keys(skewed, table):
 
 
 def test_heavy_keys_are_bounded(skewed, no_broadcast):
-    found = [r[0] for r in heavy_keys(skewed, ["k"]).collect()]
+    found = [r[0] for r in heavy_keys(skewed, ["k"])]
     assert len(found) == 5
     assert found[0] == 0
 
@@ -110,5 +112,12 @@ def test_kept_tables_are_measured_and_released(spark):
         spark.read.parquet(path)
 
 
+def test_sizes_are_computed_if_their_event_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "_observed", lambda seen: None)
+    with Workspace(spark) as ws:
+        kept = ws.keep(spark.range(10).select(F.when(F.col("id") > 3, F.col("id")).alias("x")), "t", total=F.sum("x"))
+        assert (kept.rows, kept.nulls, kept.totals) == (10, frozenset({"x"}), {"total": 39})
+
+
 def test_workspace_uses_the_folder_of_the_session(spark):
     assert Workspace(spark).root.startswith(spark.conf.get("spark.checkpoint.dir"))
