@@ -235,7 +235,8 @@ def _with(*ctes: str, select: str) -> str:
 
 
 def _r6(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+    """Six decimals without summation noise at an exact half, and without a negative zero."""
+    return f"round(round({expression}, 12), 6) + 0.0"
 
 
 def _rmse(model: str) -> str:

@@ -36,8 +36,12 @@ AS_OF_YEAR = 2020
 
 
 def _round(value: Column | str) -> Column:
-    """Six decimals, as in the printed tables."""
-    return F.round(value, 6)
+    """Six decimals, as in the printed tables.
+
+    Means of few values often end in an exact 5 at the seventh decimal; rounding
+    to twelve first takes off the noise of the summation that would decide there.
+    """
+    return F.round(F.round(value, 12), 6)
 
 
 _studies: dict[tuple, Study] = {}
