@@ -101,7 +101,7 @@ def semi_join(ws: Workspace, rows: DataFrame, other: DataFrame, key: str) -> Dat
     return lookup(rows, ws.keep(other.select(key).distinct(), f"keys-{key}"), [key], "left_semi")
 
 
-def natural_anti_join(left: DataFrame, right: DataFrame) -> DataFrame:
+def natural_anti_join(ws: Workspace, left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that equal no row of ``right`` in all shared columns, copies kept.
 
     Both sides go through one grouping on those columns instead of a join, so
@@ -111,7 +111,7 @@ def natural_anti_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
     if set(left.columns) - set(right.columns):
         shared = [c for c in left.columns if c in right.columns]
-        return lookup(left, right.select(*shared).distinct(), shared, "left_anti")
+        return lookup(left, ws.keep(right.select(*shared).distinct(), "shared"), shared, "left_anti")
     columns = left.columns
     both = left.select("*", F.lit(1).alias("__left")).unionByName(
         right.select(*columns, F.lit(0).alias("__left"))

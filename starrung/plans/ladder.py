@@ -116,15 +116,30 @@ class EffectLadder:
         )
 
     def fit(
-        self, ws: Workspace, ratings: DataFrame, items: DataFrame | Kept, models: Sequence[str] = tuple(MODELS)
+        self,
+        ws: Workspace,
+        ratings: DataFrame,
+        items: DataFrame | Kept,
+        models: Sequence[str] = tuple(MODELS),
+        start: LadderModel | None = None,
     ) -> LadderModel:
         """Fit the effects of ``models`` on ``user_id, item_id, rating, ts`` and ``item_id, title, genres``.
 
         ``ratings`` is read three times and should be a table, not a long query.
+        ``start`` is an earlier fit on the same ratings, which is then extended.
         """
         rows = _narrow(ratings)
         wanted = {name for model in models for name in MODELS[model]}
-
+        model = start or self._fit_item(ws, rows)
+        if wanted - {"item"} and "user" not in model.effects:
+            model = self._fit_user(ws, rows, model)
+        if wanted - {"item", "user"}:
+            if model.residuals is None:
+                model = self._fit_groups(ws, rows, items, model)
+            model = self._fit_rungs(ws, wanted, model)
+        return model
+
+    def _fit_item(self, ws: Workspace, rows: DataFrame) -> LadderModel:
         per_item = ws.keep(
             rows.groupBy("item_id").agg(
                 F.sum("rating").alias("total"), F.count("rating").alias("known"), F.count(F.lit(1)).alias("n")
@@ -139,29 +154,27 @@ class EffectLadder:
         by_item = per_item.df.select(
             "item_id", (F.col("total") / F.col("n") - F.lit(mean)).alias("effect_item"), "n"
         )
-        item = replace(per_item, df=by_item)
-        model = LadderModel(self, mean, {"item": item})
-        if wanted <= {"item"}:
-            return model
+        return LadderModel(self, mean, {"item": replace(per_item, df=by_item)})
 
-        off_item = F.col("rating") - F.lit(mean) - _effect("item")
+    def _fit_user(self, ws: Workspace, rows: DataFrame, model: LadderModel) -> LadderModel:
+        residual = F.col("rating") - F.lit(model.mean) - _effect("item")
         user = ws.keep(
-            apply_effect(rows.drop("year_stamp"), item, "item_id")
+            apply_effect(rows.drop("year_stamp"), model.effects["item"], "item_id")
             .groupBy("user_id")
-            .agg(F.avg(off_item).alias("effect_user"), F.count(F.lit(1)).alias("n")),
+            .agg(F.avg(residual).alias("effect_user"), F.count(F.lit(1)).alias("n")),
             "effect-user",
         )
-        model = replace(model, effects={**model.effects, "user": user})
-        if wanted <= {"item", "user"}:
-            return model
+        return replace(model, effects={**model.effects, "user": user})
 
-        off_user = F.col("rating") - F.lit(mean) - _effect("user")
+    def _fit_groups(self, ws: Workspace, rows: DataFrame, items: DataFrame | Kept, model: LadderModel) -> LadderModel:
+        """Residual sums after item and user, first per feature combination, then per keys of the rungs."""
+        residual = F.col("rating") - F.lit(model.mean) - _effect("user")
         sums = (
-            apply_effect(rows, user, "user_id")
+            apply_effect(rows, model.effects["user"], "user_id")
             .groupBy("item_id", "year_stamp")
-            .agg(F.sum(off_user).alias("total"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum(residual).alias("total"), F.count(F.lit(1)).alias("n"))
         )
-        sums = lookup(sums, _without_n(item), ["item_id"], balanced=True)
+        sums = lookup(sums, _without_n(model.effects["item"]), ["item_id"], balanced=True)
         cells = ws.keep(
             lookup(sums, self.features(ws, items), ["item_id"], balanced=True)
             .groupBy(*_FEATURES)
@@ -170,26 +183,27 @@ class EffectLadder:
         )
         model = replace(model, label_rows=label_effects(cells.df, self.vocabulary).collect())
         breaks = self.score_breaks(ws, cells, model.score())
-
-        effects = dict(model.effects)
-        keys = [rung.key for rung in RUNGS]
-        left = ws.keep(
+        residuals = (
             cells.df.withColumn("group", assign_bins(model.score(), breaks))
-            .groupBy(*keys)
-            .agg(F.sum("total").alias("total"), F.sum("n").alias("n")),
-            "residuals",
-        ).df
+            .groupBy(*[rung.key for rung in RUNGS])
+            .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        )
+        return replace(model, breaks=breaks, residuals=ws.table(residuals, "residuals"))
+
+    def _fit_rungs(self, ws: Workspace, wanted: set[str], model: LadderModel) -> LadderModel:
+        """The remaining effects, each from the residual sums less the effects before it."""
+        effects, left = dict(model.effects), model.residuals
         for rung in RUNGS:
             if rung.name not in wanted:
                 continue
-            earlier = _sum(_effect(name) for name in rung.after if name not in ("item", "user"))
-            residual = F.col("total") - F.col("n") * earlier
-            effects[rung.name] = ws.keep(
-                fit_effect_from_sums(left, rung.key, residual, rung.name), f"effect-{rung.name}"
-            )
+            if rung.name not in effects:
+                earlier = _sum(_effect(name) for name in rung.after if name not in ("item", "user"))
+                residual = F.col("total") - F.col("n") * earlier
+                effect = fit_effect_from_sums(left, rung.key, residual, rung.name)
+                effects[rung.name] = ws.keep(effect, f"effect-{rung.name}")
             if any(rung.name in later.after for later in RUNGS):
                 left = apply_effect(left, effects[rung.name], rung.key)
-        return replace(model, effects=effects, breaks=breaks)
+        return replace(model, effects=effects)
 
 
 @dataclass(frozen=True)
@@ -202,6 +216,8 @@ class LadderModel:
     # Three rows per label at most, so they are plain numbers, fixed before any score is computed.
     label_rows: list[Row] | None = None
     breaks: list[float] | None = None
+    # Only while its workspace lasts: what later effects of an extended fit are computed from.
+    residuals: DataFrame | None = None
 
     @property
     def labels(self) -> DataFrame:

@@ -185,14 +185,14 @@ def q_split_counts_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_holdout_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir, sparse=True)
     drawn = study.outer.drawn
-    rest = study.ws.table(natural_anti_join(study.ratings, drawn), "rest")
+    rest = study.ws.table(natural_anti_join(study.ws, study.ratings, drawn), "rest")
     known_item = semi_join(study.ws, drawn, rest, "item_id")
     return semi_join(study.ws, known_item, rest, "user_id")
 
 
 def q_holdout_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outer = _study(spark, sf_dir, sparse=True).outer
-    return natural_anti_join(outer.drawn, outer.holdout)
+    study = _study(spark, sf_dir, sparse=True)
+    return natural_anti_join(study.ws, study.outer.drawn, study.outer.holdout)
 
 
 def q_sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,8 @@ class Study:
     ):
         self.ws, self.source, self.items, self.ladder = ws, ratings, items, ladder
         self.row_key, self.seeds, self.fractions = row_key, seeds, fractions
-        self._fitted: list[LadderModel] = []
-        self._refitted: list[LadderModel] = []
+        self._fitted: LadderModel | None = None
+        self._refitted: LadderModel | None = None
 
     @classmethod
     def of_tables(
@@ -72,22 +72,15 @@ class Study:
         """Features per item."""
         return self.ladder.features(self.ws, self.items)
 
-    @cached_property
+    @property
     def model(self) -> LadderModel:
         """All effects, fitted on train."""
         return self.fit(tuple(MODELS))
 
     def fit(self, models: Sequence[str]) -> LadderModel:
-        """The effects that ``models`` need, fitted on train; an earlier fit that has them is used again."""
-        return self._fit_once(self._fitted, self.inner.train, models)
-
-    def _fit_once(self, earlier: list[LadderModel], ratings: DataFrame, models: Sequence[str]) -> LadderModel:
-        wanted = {name for model in models for name in MODELS[model]}
-        for model in earlier:
-            if wanted <= set(model.effects):
-                return model
-        earlier.append(self.ladder.fit(self.ws, ratings, self.features, models))
-        return earlier[-1]
+        """The effects that ``models`` need, fitted on train; earlier fits are extended, not repeated."""
+        self._fitted = self.ladder.fit(self.ws, self.inner.train, self.features, models, self._fitted)
+        return self._fitted
 
     def compare(self, models: Sequence[str] = COMPARED, na: str = "propagate") -> DataFrame:
         """RMSE of the models on test."""
@@ -95,7 +88,8 @@ class Study:
 
     def refit(self, model: str = "8") -> LadderModel:
         """The chosen model fitted again on everything but the final hold-out."""
-        return self._fit_once(self._refitted, self.outer.train, [model])
+        self._refitted = self.ladder.fit(self.ws, self.outer.train, self.features, [model], self._refitted)
+        return self._refitted
 
     def final_score(self, model: str = "8") -> DataFrame:
         """RMSE of the refitted model on the final hold-out."""

@@ -66,16 +66,16 @@ def test_semi_join(ws, skewed, spark):
     assert semi_join(ws, skewed, keep, "k").count() == skewed.where("k = 0 or k is null").count()
 
 
-def test_natural_anti_join_keeps_copies_and_matches_null(spark):
+def test_natural_anti_join_keeps_copies_and_matches_null(spark, ws):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
     right = spark.createDataFrame([(2, None), (3, "d"), (9, "z")], "k int, v string")
-    assert rows(natural_anti_join(left, right)) == [(1, "a"), (1, "a"), (3, "c")]
+    assert rows(natural_anti_join(ws, left, right)) == [(1, "a"), (1, "a"), (3, "c")]
 
 
-def test_natural_anti_join_on_shared_columns_only(spark):
+def test_natural_anti_join_on_shared_columns_only(spark, ws):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     right = spark.createDataFrame([(2, 5)], "k int, w int")
-    assert rows(natural_anti_join(left, right)) == [(1, "a")]
+    assert rows(natural_anti_join(ws, left, right)) == [(1, "a")]
 
 
 def test_expand_copies_in_chunks(spark):

@@ -97,9 +97,17 @@ def test_partial_fit_has_only_the_needed_effects(dense):
     assert errors(dense.compare(["5"])) == pytest.approx({"5": TEST_RMSE["5"]}, abs=1e-6)
 
 
-def test_a_study_fits_once(dense):
-    assert dense.fit(["2"]) is dense.model
-    assert dense.refit("3") is dense.refit("2")
+def test_a_fit_can_be_extended(dense):
+    small = refit(dense, ["2"])
+    item = small.effects["item"]
+    for models, more in ((["3"], {"user"}), (["5"], {"group", "num"}), (["6a"], {"age"}),
+                         (["8"], {"release", "sequel", "year"}), (["4"], set())):
+        small_names = set(small.effects)
+        small = dense.ladder.fit(dense.ws, dense.inner.train, dense.features, models, start=small)
+        assert set(small.effects) - small_names == more
+    assert small.effects["item"] is item
+    got = errors(small.evaluate(dense.ws, dense.inner.holdout, dense.features, list(MODELS)))
+    assert got == pytest.approx(TEST_RMSE, abs=1e-6)
 
 
 def test_train_binning_equals_independent_binning_on_train(dense):
