@@ -114,8 +114,9 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_label_flags(spark: SparkSession, sf_dir: str, match: str = "substring") -> DataFrame:
-    flags = label_flags(F.col("genres"), VIEW_LABELS, match)
-    return _joined(spark, sf_dir).select("row_key", *flags)
+    per_item = items_of(spark, sf_dir).select("item_id", *label_flags(F.col("genres"), VIEW_LABELS, match))
+    rows = ratings_of(spark, sf_dir).select("row_key", "item_id")
+    return lookup(rows, per_item, ["item_id"], ws=_study(spark, sf_dir).ws).drop("item_id")
 
 
 def q_label_flags_token(spark: SparkSession, sf_dir: str) -> DataFrame:
