@@ -7,9 +7,10 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry
+import oracle_queries
 from starrung.plans import queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.all_queries(), oracle_queries.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
