@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starrung.llm.exact import exact_duplicates
 from starrung.llm.mixing import mix
+from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
 from starrung.llm.tables import table
 from starrung.workspace import Workspace
 
@@ -29,6 +30,55 @@ from t window g as (partition by body)
 """
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"].isin(*BASE))
+    return rows.select("doc_id", *[count_of(F.col("found"), k.name).alias(f"n_{k.name}") for k in KINDS],
+                       F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+def _span_sql(kind: str, pattern: str, valid: str) -> str:
+    return f"""
+        list_filter(list_transform(range(1, len(m_{kind}) + 1), lambda i: {{
+            'v': m_{kind}[i], 'a': right(g_{kind}[i], 48), 'b': left(g_{kind}[i + 1], 24),
+            's': list_sum(list_transform(g_{kind}[:i], lambda g: length(g)))::bigint
+                 + coalesce(list_sum(list_transform(m_{kind}[:i - 1], lambda m: length(m))), 0)::bigint}}),
+            lambda x: {valid}) as f_{kind}"""
+
+
+# Kind, pattern and condition on a span x with value v, start s, text before a and text after b.
+_OP6 = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+     "len(list_filter(string_split(x.v, '.'), lambda p: p::hugeint > 255)) = 0"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", """length(regexp_replace(x.v, '[^0-9]', '', 'g')) between 16 and 19 and
+        list_sum(list_transform(string_split(reverse(regexp_replace(x.v, '[^0-9]', '', 'g')), ''), lambda d, i:
+            case when i % 2 = 1 then d::int when d::int > 4 then d::int * 2 - 9 else d::int * 2 end)) % 10 = 0"""),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace(x.v, '[^0-9]', '', 'g')) between 8 and 15"),
+    ("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+     """not regexp_matches(x.a, '[A-Za-z0-9]$') and not regexp_matches(x.b, '^[A-Za-z0-9]') and
+        list_reduce(list_transform(string_split(replace(x.v, ' ', '')[5:] || replace(x.v, ' ', '')[:4], ''),
+            lambda c: case when c between '0' and '9' then ascii(c) - 48 else ascii(c) - 55 end),
+            lambda s, d: (s * case when d > 9 then 100 else 10 end + d) % 97) = 1"""),
+    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+     """not regexp_matches(x.a, '[A-Za-z0-9]$') and not regexp_matches(x.b, '^[A-Za-z0-9]')
+        and not regexp_matches(x.v, '^(?:000|666|9)|-00-|-0000$')
+        and regexp_matches(lower(x.a || ' ' || x.b), '(?:^|[^a-z])(?:ssn|social security|taxpayer)')"""),
+)
+_listed = "list_transform(f_{0}, lambda x: '{0}:' || x.s || ':' || (x.s + length(x.v)))".format
+OP6_SQL = f"""
+with m as (
+    select doc_id, {", ".join(f"regexp_extract_all(coalesce(text, ''), '{p}') as m_{k}, "
+                              f"regexp_split_to_array(coalesce(text, ''), '{p}') as g_{k}" for k, p, _ in _OP6)}
+    from documents
+), f as (select doc_id, {", ".join(_span_sql(*x) for x in _OP6)} from m)
+select doc_id, {", ".join(f"len(f_{k}) as n_{k}" for k, _, _ in _OP6)},
+       sha256(array_to_string({" || ".join(_listed(k) for k, _, _ in _OP6[:4])}, ',')) as base_sha256,
+       array_to_string({" || ".join(_listed(k) for k, _, _ in _OP6)}, ',') as spans
+from f
+"""
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(Workspace(spark), table(spark, sf_dir, "documents"))
 
@@ -71,10 +121,12 @@ from ends
 
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_personal_data": op6_personal_data,
     "op8_mix_sources": op8_mix_sources,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
+    "op6_personal_data": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
 }
