@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.llm.exact import exact_duplicates
+from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
 from starrung.llm.tables import table
@@ -119,14 +120,36 @@ select doc_id, size::bigint as size, source_size::bigint as source_size, target,
 from ends
 """
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_shared_lines(Workspace(spark), table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+OP9_SQL = r"""
+with lines as (
+    select d.rowid as r, x.i, x.line, trim(x.line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) as body, site
+    from (select row_number() over () as rowid, coalesce(source, chr(1)) as site, coalesce(text, '') as text
+          from documents) d,
+         unnest(string_split(d.text, chr(10))) with ordinality as x(line, i)
+), shared as (
+    select body from lines where length(body) >= 20 group by body having count(distinct site) >= 5
+), docs as (select row_number() over () as r, doc_id from documents)
+select d.doc_id, count(*) as n_lines, count(s.body) as n_removed,
+       sha256(coalesce(string_agg(l.line, chr(10) order by l.i) filter (s.body is null), '')) as text_sha256
+from docs d join lines l on l.r = d.r left join shared s on s.body = l.body
+group by d.r, d.doc_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_personal_data": op6_personal_data,
     "op8_mix_sources": op8_mix_sources,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 SQL: dict[str, str] = {
     "op4_exact_dedup": OP4_SQL,
     "op6_personal_data": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
+    "op9_line_dedup": OP9_SQL,
 }
