@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starrung.llm.decontam import find_benchmark
 from starrung.llm.exact import exact_duplicates
 from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
@@ -80,6 +81,15 @@ from f
 """
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_benchmark(Workspace(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"),
+                       F.array_join(F.transform("spans", lambda s: F.concat_ws(
+                           ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(Workspace(spark), table(spark, sf_dir, "documents"))
 
@@ -143,6 +153,7 @@ group by d.r, d.doc_id
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_personal_data": op6_personal_data,
+    "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
 }
