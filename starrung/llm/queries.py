@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 
 from starrung.llm.decontam import find_benchmark
 from starrung.llm.exact import exact_duplicates
+from starrung.llm.language import identify_language
 from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
-from starrung.llm.tables import table
+from starrung.llm.tables import fold, table
 from starrung.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    third = fold(F.col("doc_id"), 3)
+    found = identify_language(docs, third != 1)
+    return found.select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score", "margin")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(Workspace(spark), table(spark, sf_dir, "documents"))
 
@@ -151,6 +159,7 @@ group by d.r, d.doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_personal_data": op6_personal_data,
     "op7_decontaminate": op7_decontaminate,
