@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starrung.llm.decontam import find_benchmark
 from starrung.llm.exact import exact_duplicates
 from starrung.llm.language import identify_language
+from starrung.llm.lattice import lattice_likelihood
 from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
@@ -158,6 +159,13 @@ from docs d join lines l on l.r = d.r left join shared s on s.body = l.body
 group by d.r, d.doc_id
 """
 
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    seventh = fold(F.col("doc_id"), 7)
+    rows = lattice_likelihood(Workspace(spark), docs, seventh != 2)
+    return rows.select("doc_id", (seventh == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
@@ -165,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
+    "op10_lattice_lm": op10_lattice_lm,
 }
 
 SQL: dict[str, str] = {
