@@ -15,6 +15,7 @@ from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
 from starrung.llm.tables import fold, table
+from starrung.llm.toxicity import find_toxicity
 from starrung.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,14 @@ from t window g as (partition by body)
 """
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fifth = fold(F.col("doc_id"), 5)
+    rows = find_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fifth != 0)
+    return rows.select("doc_id", (fifth == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                       F.array_join(F.transform("spans", lambda s: F.concat_ws(
+                           ":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = find_personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
@@ -169,6 +178,7 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix_sources": op8_mix_sources,
