@@ -14,6 +14,7 @@ from starrung.llm.lattice import lattice_likelihood
 from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
+from starrung.llm.quality import score_quality
 from starrung.llm.tables import fold, table
 from starrung.llm.toxicity import find_toxicity
 from starrung.workspace import Workspace
@@ -28,6 +29,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score", "margin")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fourth = fold(F.col("doc_id"), 4)
+    rows = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fourth != 2)
+    return rows.select("doc_id", (fourth == 2).alias("held_out"), "score",
+                       (F.col("score") >= 0.7).cast("int").alias("predicted"), "passage", "attention")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(Workspace(spark), table(spark, sf_dir, "documents"))
 
@@ -177,6 +185,7 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,

@@ -168,7 +168,7 @@ def _associated(docs_of: np.ndarray, hashes: np.ndarray, label: np.ndarray) -> t
         ratio = np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0) + np.where(
             clean > 0, clean * np.log(clean / (both * (1 - share))), 0)
     odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
-    chosen = (ratio > math.log(len(first)) + 2) & (odds > math.log(MIN_ODDS))
+    chosen = (ratio > math.log(len(first)) + 5) & (odds > math.log(MIN_ODDS))
     return h[first[chosen]], odds[chosen] > math.log(SURE_ODDS)
 
 
