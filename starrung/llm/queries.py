@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starrung.llm.decontam import find_benchmark
 from starrung.llm.exact import exact_duplicates
+from starrung.llm.jaccard import jaccard_components
 from starrung.llm.language import identify_language
 from starrung.llm.lattice import lattice_likelihood
 from starrung.llm.lines import remove_shared_lines
@@ -29,6 +30,33 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score", "margin")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard_components(Workspace(spark), table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
+OP2_SQL = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+    select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from words
+), elements as materialized (select doc_id, len(s) as n, unnest(s) as e from sets
+), links as materialized (
+    select a.doc_id as x, b.doc_id as y from elements a join elements b on a.e = b.e and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 175 * count(*) >= 75 * (a.n + b.n)
+), reach as (
+    select doc_id, doc_id as c from sets
+    union
+    select l.y, r.c from reach r join links l on l.x = r.doc_id where r.c < l.y
+)
+select s.doc_id, len(any_value(s.s)) as n_shingles, min(r.c) as component_id
+from sets s join reach r on r.doc_id = s.doc_id group by s.doc_id
+"""
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     fourth = fold(F.col("doc_id"), 4)
     rows = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fourth != 2)
@@ -185,6 +213,7 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
@@ -196,6 +225,7 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_jaccard_join": OP2_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op6_personal_data": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
