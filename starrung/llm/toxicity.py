@@ -272,10 +272,12 @@ FOUND = "score double, spans array<struct<start:long,end:long,p:double>>"
 
 
 def find_toxicity(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text",
-                  label: str = "toxic", most: dict[int, int] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+                  label: str = "toxic", most: dict[int, int] | None = None, threshold: float = THRESHOLD,
+                  carry: str | None = None) -> DataFrame:
     """One row per row of ``docs``: the key, ``score`` and ``spans`` of offending words.
 
-    ``train`` is a condition on the rows of ``labels``. The score is the
+    ``train`` is a condition on the rows of ``labels``, which are found by the
+    key. ``carry`` names a column that rows are returned with instead of it. The score is the
     largest marginal of the toxic tag; a text that is null, empty or without marked words has 0.
     ``spans`` are runs of words whose marginal reaches ``threshold``, in code
     points with an exclusive end, with the largest marginal. Repeated rows are
@@ -283,6 +285,7 @@ def find_toxicity(docs: DataFrame, labels: DataFrame, train: Column, key: str =
     """
     field = fit_field(labelled_sample(docs, labels, label, train, key, text, most or MOST_DOCUMENTS, MOST_BYTES))
     shared = docs.sparkSession.sparkContext.broadcast(field)
+    key = carry or key
     rows = docs.select(F.col(key).alias("row"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["row"]
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
