@@ -11,7 +11,7 @@ of them by one power of the step matrix.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +52,20 @@ def features_of(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list
 
 @dataclass
 class Field:
-    """Hashes and weights of the features; bias of the toxic tag; log potentials of tag changes."""
+    """Hashes and weights of the features; bias of the toxic tag; log potentials of tag changes; weights of a document's score."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
     change: np.ndarray
     maybe: np.ndarray
+    document: np.ndarray
+
+    def score(self, row: np.ndarray, marked: np.ndarray, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Score of each document from the marginals of its marked words; 0 without any."""
+        some = np.bincount(row[marked], minlength=len(counts)) > 0
+        x = _document_features(row, marked, p, counts)
+        return np.where(some, 1 / (1 + np.exp(-np.clip(x @ self.document, -30, 30))), 0.0)
 
     def words(self, chunk: W.Texts):
         """All words of some texts: where they are, which have features, and the sum of their weights."""
@@ -76,6 +83,25 @@ class Field:
         return starts, ends, row, np.flatnonzero(marked), extra
 
 
+def _document_features(row: np.ndarray, marked: np.ndarray, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A constant, the expected number of toxic words, the largest marginal, and the expected number in a hundred words."""
+    n = len(counts)
+    expected = np.bincount(row[marked], p, n) if len(marked) else np.zeros(n)
+    largest = np.zeros(n)
+    np.maximum.at(largest, row[marked], p)
+    return np.stack([np.ones(n), np.log1p(expected), largest, np.log1p(100 * expected / np.maximum(counts, 1))], axis=1)
+
+
+def _fit_documents(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Logistic regression of the documents' labels, by Newton steps."""
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        curve = x.T @ (x * (p * (1 - p))[:, None]) + RIDGE * np.eye(len(w))
+        w = w + np.linalg.solve(curve, x.T @ (label - p) - RIDGE * w)
+    return w
+
+
 def _maybe(hashes: np.ndarray) -> np.ndarray:
     out = np.zeros(1 << 20, bool)
     out[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
@@ -150,56 +176,69 @@ def marginals(field: Field, row: np.ndarray, marked: np.ndarray, extra: np.ndarr
     return out
 
 
-def _associated(docs_of: np.ndarray, hashes: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words_of(sample: pa.Table):
+    """Words of the sample a few megabytes at a time: hash sums, starts, ends, and the document of each."""
+    done = 0
+    for column in sample.column("text").chunks:
+        for chunk in W.chunks(column):
+            data = W.LOWER[chunk.data]
+            starts, ends, row = W.spans(data, chunk.offsets, _INSIDE)
+            yield W.sums(data), starts, ends, row + done + chunk.first
+        done += len(column)
+
+
+def _documents_with(sample: pa.Table, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All features of the sample in order, with the toxic and the other documents that have each."""
+    known, toxic, clean = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for total, starts, ends, row in _words_of(sample):
+        for which, h in features_of(total, starts, ends):
+            order = np.lexsort((row[which], h))
+            h, d = h[order], row[which][order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+            h, y = h[new], label[d[new]]
+            known, back = np.unique(np.concatenate([known, h]), return_inverse=True)
+            toxic = np.bincount(back, np.concatenate([toxic, y == 1]), len(known))
+            clean = np.bincount(back, np.concatenate([clean, y == 0]), len(known))
+    return known, toxic, clean
+
+
+def _associated(sample: pa.Table, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of features that toxic documents have significantly more often, in order, and which are sure signs.
 
     The bound of the likelihood ratio grows with the number of features that are tested.
     """
-    order = np.lexsort((docs_of, hashes))
-    h, d = hashes[order], docs_of[order]
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])
-    h, d = h[new], d[new]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    toxic = np.add.reduceat(label[d].astype(np.float64), first)
-    both = np.diff(np.append(first, len(h))).astype(np.float64)
-    share = label.mean()
-    clean = both - toxic
+    known, toxic, clean = _documents_with(sample, label)
+    both, share = toxic + clean, label.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0) + np.where(
             clean > 0, clean * np.log(clean / (both * (1 - share))), 0)
     odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
-    chosen = (ratio > math.log(len(first)) + 5) & (odds > math.log(MIN_ODDS))
-    return h[first[chosen]], odds[chosen] > math.log(SURE_ODDS)
+    chosen = (ratio > math.log(max(len(known), 1)) + 1) & (odds > math.log(MIN_ODDS))
+    return known[chosen], odds[chosen] > math.log(SURE_ODDS)
 
 
 def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
     """Fits the field on ``text, label``; without both labels it has no features and tags nothing."""
     sample = without_copies(sample)
     label = sample.column("label").to_numpy().astype(np.int64)
-    empty = Field(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.zeros((2, 2)), _maybe(np.zeros(0, np.uint64)))
+    empty = Field(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.zeros((2, 2)), _maybe(np.zeros(0, np.uint64)), np.zeros(4))
     if not len(label) or label.min() == label.max():
         return empty
-    docs_of, hashes, word_of, row, words = [], [], [], [], 0
-    done = 0
-    for column in sample.column("text").chunks:
-        for chunk in W.chunks(column):
-            data = W.LOWER[chunk.data]
-            starts, ends, r = W.spans(data, chunk.offsets, _INSIDE)
-            r = r + done + chunk.first
-            row.append(r)
-            for which, h in features_of(W.sums(data), starts, ends):
-                docs_of.append(r[which])
-                hashes.append(h)
-                word_of.append(which + words)
-            words += len(starts)
-        done += len(column)
-    docs_of, hashes, word_of, row = map(np.concatenate, (docs_of, hashes, word_of, row))
-    chosen, sure = _associated(docs_of, hashes, label) if len(hashes) else (hashes, hashes)
+    chosen, sure = _associated(sample, label)
     if not len(chosen):
         return empty
-    at = np.minimum(np.searchsorted(chosen, hashes), len(chosen) - 1)
-    has = chosen[at] == hashes
-    word_of, feature = word_of[has], at[has]
+    rows, word_of, feature, words = [], [], [], 0
+    for total, starts, ends, row in _words_of(sample):
+        for which, h in features_of(total, starts, ends):
+            at = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
+            has = chosen[at] == h
+            word_of.append(which[has] + words)
+            feature.append(at[has])
+        rows.append(row.astype(np.int32))
+        words += len(starts)
+    row, word_of, feature = np.concatenate(rows), np.concatenate(word_of), np.concatenate(feature)
+    all_words, all_features = word_of, feature
     marked, signed = np.zeros(len(row), bool), np.zeros(len(row), bool)
     marked[word_of] = True
     signed[word_of[sure[feature]]] = True
@@ -219,7 +258,12 @@ def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
     cell = np.full(len(row), -1, np.int64)
     cell[inside] = number[segment[inside]] * SEGMENT + place[inside] % SEGMENT
     feature, cells = feature[cell[word_of] >= 0], cell[word_of][cell[word_of] >= 0]
-    return _maximise(chosen, feature, cells, y, size, rounds)
+    field = _maximise(chosen, feature, cells, y, size, rounds)
+    extra = np.bincount(all_words, field.weights[all_features], len(row))
+    counts = np.bincount(row, minlength=len(label))
+    at = np.flatnonzero(marked)
+    p = marginals(field, row.astype(np.int64), at, extra, counts)
+    return replace(field, document=_fit_documents(_document_features(row, at, p, counts), label))
 
 
 def _maximise(chosen, feature, cells, y, size, rounds) -> Field:
@@ -265,7 +309,7 @@ def _maximise(chosen, feature, cells, y, size, rounds) -> Field:
         theta = theta + np.sign(slope) * step
         last = np.where(same < 0, 0.0, slope)
     weights, bias, change = theta[: len(chosen)], theta[len(chosen)], theta[len(chosen) + 1 :].reshape(2, 2)
-    return Field(chosen, weights, float(bias), change, _maybe(chosen))
+    return Field(chosen, weights, float(bias), change, _maybe(chosen), np.zeros(4))
 
 
 FOUND = "score double, spans array<struct<start:long,end:long,p:double>>"
@@ -277,8 +321,9 @@ def find_toxicity(docs: DataFrame, labels: DataFrame, train: Column, key: str =
     """One row per row of ``docs``: the key, ``score`` and ``spans`` of offending words.
 
     ``train`` is a condition on the rows of ``labels``, which are found by the
-    key. ``carry`` names a column that rows are returned with instead of it. The score is the
-    largest marginal of the toxic tag; a text that is null, empty or without marked words has 0.
+    key. ``carry`` names a column that rows are returned with instead of it. The score is a
+    logistic function of the marginals, fitted on the sample: of the expected
+    number of toxic words, their density and the largest marginal; a text that is null, empty or without marked words has 0.
     ``spans`` are runs of words whose marginal reaches ``threshold``, in code
     points with an exclusive end, with the largest marginal. Repeated rows are
     treated alike, other columns are ignored. Without usable labels all scores are 0.
@@ -297,8 +342,7 @@ def find_toxicity(docs: DataFrame, labels: DataFrame, train: Column, key: str =
                 starts, ends, row, marked, extra = shared.value.words(chunk)
                 counts = np.bincount(row, minlength=n)
                 p = marginals(shared.value, row, marked, extra, counts)
-                score = np.zeros(n)
-                np.maximum.at(score, row[marked], p)
+                score = shared.value.score(row, marked, p, counts)
                 spans: list[list[dict]] = [[] for _ in range(n)]
                 bad = marked[p >= threshold]
                 if len(bad):
