@@ -30,16 +30,15 @@ items as materialized (
                      case when p_partkey % 2 = 0 then split_part(p_name, ' ', 1) end,
                      case when p_partkey % 3 = 0 then split_part(p_name, ' ', 2) end) end as genres
   from part
-  where p_partkey % 97 <> 0
 )"""
 
 
 def ratings_cte(sparse: bool = False) -> str:
-    where = "where l_orderkey % 20 = 0" if sparse else ""
+    user = "l_orderkey" if sparse else "o_custkey"
     return f"""
 ratings as materialized (
-  select o_custkey as user_id,
-         l_partkey as item_id,
+  select {user} as user_id,
+         case when l_partkey % 97 = 0 then -1 - l_partkey else l_partkey end as item_id,
          cast(least(10, greatest(1, ceil(l_quantity / 10) + (l_partkey % 7) - 3
               + (o_custkey % 5) - 2 + (year(l_shipdate) % 3) - 1 + 2)) as double) / 2 as rating,
          cast(epoch(l_shipdate) as bigint) as ts,
@@ -47,7 +46,6 @@ ratings as materialized (
                    cast(l_partkey as varchar), cast(l_suppkey as varchar),
                    cast(cast(l_quantity as bigint) as varchar)) as row_key
   from lineitem join orders on l_orderkey = o_orderkey
-  {where}
 )"""
 
 
@@ -116,7 +114,6 @@ def ladder_ctes(train: str, test: str) -> str:
         f"(case when flags[{i}] = 1 then y{i} when flags[{i}] = 0 then n{i} else u{i} end)"
         for i in range(1, len(LABELS) + 1)
     )
-    probs = "[" + ", ".join(f"{i / 10}" for i in range(11)) + "]"
     grp = "case when genre_score is null then null else cast(1 + len(list_filter(b[2:len(b) - 1], lambda x: x < genre_score)) as int) end"
 
     def widened(name: str, source: str) -> str:
@@ -133,8 +130,14 @@ def ladder_ctes(train: str, test: str) -> str:
 {name}_s as materialized (
   select t.*, genre_score from {source} t join {name}_v v on t.flags is not distinct from v.flags
 ),
+{name}_l as materialized (
+  select list_sort(list(genre_score)) as v from {name}_s where genre_score is not null
+),
 {name}_b as materialized (
-  select list_sort(list_distinct(quantile_cont(genre_score, {probs}))) as b from {name}_s
+  select list_transform(range(0, 11), lambda i: v[(len(v) - 1) * i // 10 + 1]
+    + (v[least((len(v) - 1) * i // 10 + 2, len(v))] - v[(len(v) - 1) * i // 10 + 1])
+      * (cast((len(v) - 1) * i % 10 as double) / 10)) as b
+  from {name}_l
 ),
 {name} as materialized (select s.*, {grp} as "group" from {name}_s s, {name}_b)"""
 
@@ -281,6 +284,9 @@ trf as materialized (
     flags = ", ".join(
         f"cast(contains(genres, '{label}') as int) as {name}" for label, name in zip(LABELS, FLAG_NAMES)
     )
+    patterns = ", ".join(
+        f"cast(regexp_matches(genres, '{label}') as int) as {name}" for label, name in zip(LABELS, FLAG_NAMES)
+    )
     tokens = ", ".join(
         f"cast(list_contains(string_split(genres, '|'), '{label}') as int) as {name}"
         for label, name in zip(LABELS, FLAG_NAMES)
@@ -309,6 +315,7 @@ select row_key, num_genre, release_year, age_group, sequel, {YEAR} as year_stamp
 from ratings r left join feat f on r.item_id = f.item_id"""),
         "label_flags": _with(*wide, select=f"select row_key, {flags} from joined"),
         "label_flags_token": _with(*wide, select=f"select row_key, {tokens} from joined"),
+        "label_flags_regex": _with(*wide, select=f"select row_key, {patterns} from joined"),
         "label_count": _with(ITEMS, select=f"select item_id, {NUM} as num_genre from items"),
         "release_year": _with(ITEMS, select=f"select item_id, {RELEASE} as release_year from items"),
         "age_group": _with(ITEMS, FEATURES, select="select item_id, age_group from feat"),
@@ -388,6 +395,10 @@ from tr4_b, lateral (select unnest(range(len(b))) as i)"""),
         "score_group": _with(*ladder, select="""
 select 'train' as side, item_id, "group", count(*) as n from tr4 group by 1, 2, 3
 union all select 'test', item_id, "group", count(*) from te4 group by 1, 2, 3"""),
+        "score_group_train_binning": _with(*ladder, select="""
+select item_id, case when genre_score is null then null
+       else cast(1 + len(list_filter(b[2:len(b) - 1], lambda x: x < genre_score)) as int) end as "group", count(*) as n
+from te4_s, tr4_b group by 1, 2"""),
         "freq_group": _with(*ladder, select="""
 select "group", count(*) as count from tr4 where "group" is not null group by 1 order by 1"""),
         "hist_label_score": _with(
@@ -395,6 +406,14 @@ select "group", count(*) as count from tr4 where "group" is not null group by 1
         "rmse_table": _with(*ladder, select="\nunion all ".join(
             f"select '{m}' as model, '{MODEL_TITLES[m]}' as title, {_rmse(m)} as rmse from scored"
             for m in ("1", "2", "3", "4", "5", "6b", "7", "8"))),
+        "rmse_skip": _with(*ladder, """
+known as (
+  select t.rating, p1, case when item_id % 20 <> 0 then p2 end as p2 from scored s join te0 t using (row_key)
+)""", select=f"""
+select '1' as model, {_r6('sqrt(avg((rating - p1) * (rating - p1)))')} as rmse, count(p1) as scored from known
+union all
+select '2', {_r6('sqrt(avg((rating - p2) * (rating - p2)))')}, count(p2) from known"""),
+        "rmse_aggregate": _with(*final, select=f"select {_rmse('8')} as rmse from scored"),
         "final_rmse": _with(*final, select=f"select '8' as model, {_rmse('8')} as rmse, count(p8) as scored from scored"),
         "final_predictions": _with(*final, select=f"select row_key, rating, {_r6('p8')} as prediction from scored"),
         "global_mean": _with(ratings, select=f"select {_r6('avg(rating)')} as average from ratings"),

@@ -7,26 +7,29 @@ from functools import reduce
 from math import ceil, log2
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starrung.operators.ordering import with_running_total
 from starrung.workspace import Kept, Workspace
 
-# Up to this many distinct values the exact percentile aggregate holds them in one task.
+# Up to this many distinct values one task adds up their counts; the result is the same either way.
 SINGLE_TASK_VALUES = 1_000_000
 
 
 def value_counts(ws: Workspace, df: DataFrame, value: Column, weight: Column | None = None) -> Kept:
     """Distinct non-NULL values as doubles with the number of rows that have them."""
+    return ws.keep(_counted(df, value, weight), "values")
+
+
+def _counted(df: DataFrame, value: Column, weight: Column | None) -> DataFrame:
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    counted = (
+    return (
         df.select(value.cast("double").alias("value"), weight.cast("bigint").alias("w"))
         .where(F.col("value").isNotNull())
         .groupBy("value")
         .agg(F.sum("w").alias("n"))
     )
-    return ws.keep(counted, "values")
 
 
 def quantile_breaks(
@@ -37,46 +40,63 @@ def quantile_breaks(
     weight: Column | None = None,
     dedupe: bool = False,
     rows: int | None = None,
+    repeats: bool = False,
 ) -> list[float]:
     """The ``parts + 1`` exact quantiles at 0, 1/parts, ..., 1, linearly interpolated.
 
     ``weight`` is the number of rows each row stands for; ``rows`` is the number
-    of rows of ``df`` if it is known. Equal breaks raise an error, or are merged
-    with ``dedupe``.
+    of rows of ``df`` if it is known. Positions are computed in whole numbers.
+    Equal breaks raise an error; with ``dedupe`` they are merged, and with
+    ``repeats`` they stay, so that bins keep their numbers and some are empty.
     """
     if rows is not None and rows <= SINGLE_TASK_VALUES:
-        breaks = _percentiles(df, value.cast("double"), parts, F.lit(1) if weight is None else weight)
+        counts, few = _counted(df, value, weight), True
     else:
-        counts = value_counts(ws, df, value, weight)
-        if counts.rows <= SINGLE_TASK_VALUES:
-            breaks = _percentiles(counts.df, F.col("value"), parts, F.col("n"))
-        else:
-            breaks = _breaks_by_rank(ws, counts.df, parts)
-    if breaks is None:
-        raise ValueError("no values to take quantiles of")
+        kept = value_counts(ws, df, value, weight)
+        counts, few = kept.df, kept.rows <= SINGLE_TASK_VALUES
+    breaks = _breaks_by_rank(ws, counts, parts, few)
     distinct = sorted(set(breaks))
-    if len(distinct) < len(breaks) and not dedupe:
-        raise ValueError(f"{len(breaks) - len(distinct)} of {len(breaks)} breaks repeat; too few distinct values")
-    return distinct
-
+    if len(distinct) == len(breaks) or dedupe:
+        return distinct
+    if repeats:
+        return breaks
+    raise ValueError(f"{len(breaks) - len(distinct)} of {len(breaks)} breaks repeat; too few distinct values")
 
-def _percentiles(df: DataFrame, value: Column, parts: int, weight: Column) -> list[float] | None:
-    shares = F.array(*[F.lit(i / parts) for i in range(parts + 1)])
-    return df.agg(F.percentile(value, shares, weight)).first()[0]
 
-
-def _breaks_by_rank(ws: Workspace, counts: DataFrame, parts: int) -> list[float]:
-    """The same quantiles when there are too many distinct values for one task."""
+def _breaks_by_rank(ws: Workspace, counts: DataFrame, parts: int, few: bool) -> list[float]:
+    """Quantiles from distinct values and their counts; ``few`` values are added up in one task."""
+    if few:
+        return _breaks_in_one_task(counts, parts)
     rows = counts.agg(F.sum("n")).first()[0]
+    if not rows:
+        raise ValueError("no values to take quantiles of")
     spots = [divmod((rows - 1) * i, parts) for i in range(parts + 1)]
     ranks = sorted({r for rank, _ in spots for r in (rank, min(rank + 1, rows - 1))})
     placed = with_running_total(ws, counts, ["value"], weight=F.col("n"))
     covers = [(F.col("before") <= r) & (F.lit(r) < F.col("before") + F.col("n")) for r in ranks]
     found = placed.where(reduce(or_, covers)).select("value", "n", "before").collect()
     at = {r: row.value for r in ranks for row in found if row.before <= r < row.before + row.n}
-    return [
-        at[rank] + (at[min(rank + 1, rows - 1)] - at[rank]) * (rest / parts) for rank, rest in spots
-    ]
+    return [_between(at[rank], at[min(rank + 1, rows - 1)], rest, parts) for rank, rest in spots]
+
+
+def _between(low: float, high: float, rest: int, parts: int) -> float:
+    return low + (high - low) * (rest / parts)
+
+
+def _breaks_in_one_task(counts: DataFrame, parts: int) -> list[float]:
+    """The same arithmetic in one query: the values at the whole ranks around each position."""
+    upto = Window.orderBy("value")
+    placed = counts.select("value", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("rows"))
+
+    def value_at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("value")))
+
+    lows = [value_at(F.expr(f"(rows - 1) * {i} div {parts}")) for i in range(parts + 1)]
+    highs = [value_at(F.least(F.expr(f"(rows - 1) * {i} div {parts} + 1"), F.col("rows") - 1)) for i in range(parts + 1)]
+    row = placed.agg(F.max("rows").alias("rows"), F.array(*lows).alias("low"), F.array(*highs).alias("high")).first()
+    if not row.rows:
+        raise ValueError("no values to take quantiles of")
+    return [_between(row.low[i], row.high[i], (row.rows - 1) * i % parts, parts) for i in range(parts + 1)]
 
 
 def assign_bins(value: Column, breaks: Sequence[float]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +75,9 @@ def label_score(profile: str, effects: dict[tuple[int, int | None], float], labe
 
     def known(position: int, flag: int | None) -> str:
         effect = effects.get((position, flag))
-        return "cast(null as double)" if effect is None else f"{effect!r}D"
+        if effect is None:
+            return "cast(null as double)"
+        return f"{effect!r}D" if isfinite(effect) else f"double('{effect}')"
 
     terms = [
         f"(case substring({profile}, {i}, 1) when '1' then {known(i, 1)} when '0' then {known(i, 0)} "

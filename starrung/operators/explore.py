@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,16 +15,23 @@ from starrung.operators.split import hash_order, sample_keys
 from starrung.workspace import Workspace
 
 
+# Columns of a wide matrix; a plan with many more takes long to compile.
+WIDEST = 5000
+
+
 def count_per_key(df: DataFrame, key: str, name: str = "num_ratings") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
 def distinct_counts(df: DataFrame, **names: str) -> DataFrame:
-    """Number of distinct values per column, NULL counted as one value; ``name=column``."""
-    return df.agg(*[
-        (F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))).alias(name)
-        for name, column in names.items()
-    ])
+    """Number of distinct values per column, NULL counted as one value; ``name=column``.
+
+    Each column has its own grouping, pre-aggregated before the shuffle.
+    """
+    groups = [df.select(F.col(c).alias("value")).distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+              for name, c in names.items()]
+    return reduce(DataFrame.unionByName, groups).agg(
+        *[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in names])
 
 
 def frequencies(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
@@ -65,13 +73,26 @@ def sparse_matrix(df: DataFrame, row: str, column: str, value: str, columns: Seq
 def sparse_sample(
     ws: Workspace, df: DataFrame, row: str, column: str, value: str, rows: int, columns: int, seed: int
 ) -> DataFrame:
-    """A corner of the matrix: ``rows`` random row keys and ``columns`` random columns among theirs.
+    """A corner of the matrix: ``rows`` random row keys and the first ``columns`` columns of theirs.
 
     Columns are named ``pick_1``, ``pick_2``, ... in the random order.
     """
+    matrix = wide_matrix(ws, df, row, column, value, rows, seed)
+    return matrix.select(*matrix.columns[: columns + 1])
+
+
+def wide_matrix(
+    ws: Workspace, df: DataFrame, row: str, column: str, value: str, rows: int, seed: int, most: int = WIDEST
+) -> DataFrame:
+    """The matrix of ``rows`` random row keys with all their columns, ``pick_1``, ``pick_2``, ... in a random order.
+
+    More than ``most`` columns are an error; such a matrix is better left as rows.
+    """
     chosen = members(ws, df.select(row, column, value), **{row: sample_keys(df, row, rows, seed)})
     chosen = ws.table(chosen, "sparse-rows")
-    picks = chosen.select(column).distinct().orderBy(hash_order(seed, column)).limit(columns)
+    picks = chosen.select(column).distinct().orderBy(hash_order(seed, column)).limit(most + 1)
     values = [r[0] for r in picks.collect()]
+    if len(values) > most:
+        raise ValueError(f"the rows have more than {most} columns")
     matrix = sparse_matrix(chosen, row, column, value, values)
     return matrix.toDF(row, *[f"pick_{i}" for i in range(1, len(values) + 1)])

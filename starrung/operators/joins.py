@@ -15,7 +15,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from starrung.operators.copies import expand_copies
 from starrung.workspace import Kept, Workspace, measured
 
 BROADCAST_BYTES = 64 << 20
@@ -99,23 +98,13 @@ def lookup(
 
 def semi_join(ws: Workspace, rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs in ``other``; NULL counts as a value."""
-    return lookup(rows, ws.keep(other.select(key).distinct(), f"keys-{key}"), [key], "left_semi")
+    return lookup(rows, ws.keep(other.select(key).distinct(), f"keys-{key}"), [key], "left_semi", ws=ws)
 
 
 def natural_anti_join(ws: Workspace, left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that equal no row of ``right`` in all shared columns, copies kept.
 
-    Both sides go through one grouping on those columns instead of a join, so
-    any number of equal rows collapses before the shuffle.
+    The distinct rows of ``right`` are looked up, so ``left`` is only moved if they are too many to broadcast.
     """
-    if set(left.columns) - set(right.columns):
-        shared = [c for c in left.columns if c in right.columns]
-        return lookup(left, ws.keep(right.select(*shared).distinct(), "shared"), shared, "left_anti")
-    columns = left.columns
-    both = left.select("*", F.lit(1).alias("__left")).unionByName(
-        right.select(*columns, F.lit(0).alias("__left"))
-    )
-    counted = both.groupBy(*columns).agg(
-        F.sum("__left").alias("__copies"), F.min("__left").alias("__only_left")
-    )
-    return expand_copies(counted.where(F.col("__only_left") == 1).drop("__only_left"), "__copies")
+    shared = [c for c in left.columns if c in right.columns]
+    return lookup(left, ws.keep(right.select(*shared).distinct(), "shared"), shared, "left_anti", ws=ws)

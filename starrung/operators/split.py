@@ -9,6 +9,7 @@ prefix are looked at one by one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, GroupedData, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from starrung.operators.binning import assign_bins, quantile_breaks
 from starrung.operators.copies import expand_copies
-from starrung.operators.joins import lookup
+from starrung.operators.joins import heavy_keys, lookup
 from starrung.operators.ordering import with_running_total
 from starrung.workspace import Kept, Workspace
 
@@ -101,7 +102,7 @@ def _split_near(
     if not cut.totals["torn"]:
         return flagged.select(*columns, "held_out")
     whole = flagged.where(F.col("held_out").isNotNull()).select(*columns, "held_out")
-    return whole.unionByName(_divide_ties(ws, flagged.where(F.col("held_out").isNull()), columns))
+    return whole.unionByName(_divide_ties(ws, flagged.where(F.col("held_out").isNull()), columns, cut.totals["torn"]))
 
 
 def _cut_offs(ws: Workspace, near: DataFrame, rows: int, ranked_hashes: int) -> Kept:
@@ -118,7 +119,7 @@ def _cut_offs(ws: Workspace, near: DataFrame, rows: int, ranked_hashes: int) ->
     found = _pick(hashes, "__hash").select(
         "__stratum", F.col("__hash").alias("__limit"), F.col("__need").alias("__take"), "__n"
     )
-    return ws.keep(found, "cut", torn=F.count_if(F.col("__take") < F.col("__n")))
+    return ws.keep(found, "cut", torn=F.coalesce(F.sum(F.when(F.col("__take") < F.col("__n"), F.col("__n"))), F.lit(0)))
 
 
 def _largest_stratum(hashes: Kept) -> int:
@@ -134,8 +135,8 @@ def _narrow(ws: Workspace, hashes: DataFrame, digits: int) -> Kept:
     return ws.keep(inside.drop("__prefix"), "hashes")
 
 
-def _divide_ties(ws: Workspace, tied: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows that share the last hash, divided in the order of their columns."""
+def _divide_ties(ws: Workspace, tied: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
+    """The ``rows`` rows that share the last hash, divided in the order of their columns."""
     tied = tied.groupBy("__stratum", "__take", *columns).agg(F.count(F.lit(1)).alias("__copies"))
     placed = ws.table(
         with_running_total(ws, tied, ["__stratum", *columns], "__before", F.col("__copies")), "ties"
@@ -149,7 +150,7 @@ def _divide_ties(ws: Workspace, tied: DataFrame, columns: Sequence[str]) -> Data
     rest = divided.select(
         *columns, F.lit(False).alias("held_out"), (F.col("__copies") - F.col("__held")).alias("__n")
     )
-    return expand_copies(held.unionByName(rest), "__n")
+    return expand_copies(held.unionByName(rest), "__n", rows)
 
 
 class Repaired(NamedTuple):
@@ -172,14 +173,16 @@ def repair_holdout(
         seen = holdout.select(key, F.lit(False).alias("__known")).unionByName(
             train.select(key, F.lit(True).alias("__known"))
         )
-        absent = seen.groupBy(key).agg(F.max("__known").alias(f"__known_{key}")).where(~F.col(f"__known_{key}"))
-        unknown[key] = ws.keep(absent, f"unknown-{key}")
+        absent = seen.groupBy(key).agg(F.max("__known").alias(f"__known_{key}"), F.count(F.lit(1)).alias("__rows"))
+        unknown[key] = ws.keep(absent.where(~F.col(f"__known_{key}")), f"unknown-{key}")
     unknown = {key: table for key, table in unknown.items() if table.rows}
     if not unknown:
         return Repaired(train, holdout, holdout.limit(0))
     checked = holdout
     for key, table in unknown.items():
-        checked = lookup(checked, table, [key])
+        # The counts tell which of the unknown keys are heavy; beyond the bound each level is written once.
+        checked = lookup(checked, replace(table, df=table.df.drop("__rows")), [key], ws=ws,
+                         heavy=lambda key=key, table=table: heavy_keys(table.df, [key], weight=F.col("__rows")))
     marks = [F.col(f"__known_{key}") for key in unknown]
     checked = checked.select(*holdout.columns, F.coalesce(*marks, F.lit(True)).alias("__complete"))
     checked = ws.table(checked, "checked", ("__complete",))

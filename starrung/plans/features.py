@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from starrung.functions import (
     age_group,
     label_count,
-    label_flags,
     label_profile,
     rating_year,
     release_year,
@@ -35,16 +34,6 @@ def item_features(
     )
 
 
-def get_label_flags(df: DataFrame, vocabulary: Sequence[str], match: str = "substring") -> DataFrame:
-    """``df`` with one 1/0 column per label of its ``genres``."""
-    return df.select("*", *label_flags(F.col("genres"), vocabulary, match))
-
-
-def get_release_year(df: DataFrame) -> DataFrame:
-    """``df`` with the release year of its ``title``."""
-    return df.withColumn("release_year", release_year(F.col("title")))
-
-
 def rating_features(
     ws: Workspace, ratings: DataFrame, items: DataFrame, vocabulary: Sequence[str], as_of_year: int
 ) -> DataFrame:

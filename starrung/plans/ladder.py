@@ -88,8 +88,9 @@ class EffectLadder:
 
     ``binning`` is ``independent`` (label scores of the scored ratings are cut
     at their own quantiles) or ``train`` (at those of the fitted ratings). If
-    one score covers several bins they are merged, or refused with
-    ``merge_bins=False``.
+    one score covers several bins this is an error; with ``merge_bins`` the
+    score goes to the first of them and the others stay empty, so that bin
+    numbers mean the same for fitted and scored ratings.
     """
 
     as_of_year: int
@@ -97,7 +98,7 @@ class EffectLadder:
     match: str = "substring"
     bins: int = 10
     binning: str = "independent"
-    merge_bins: bool = True
+    merge_bins: bool = False
 
     def __post_init__(self):
         if self.binning not in ("independent", "train"):
@@ -112,7 +113,7 @@ class EffectLadder:
     def score_breaks(self, ws: Workspace, weighted: Kept, score: Column) -> list[float]:
         """Breaks of a score over rows that each stand for ``n`` ratings."""
         return quantile_breaks(
-            ws, weighted.df, score, self.bins, weight=F.col("n"), dedupe=self.merge_bins, rows=weighted.rows
+            ws, weighted.df, score, self.bins, weight=F.col("n"), rows=weighted.rows, repeats=self.merge_bins
         )
 
     def fit(
@@ -290,7 +291,8 @@ class LadderModel:
         """``model, title, rmse, scored`` of several models from one reading of ``ratings``.
 
         Squared errors are kept as count, sum and sum of squares per group of
-        ratings that share all later effects.
+        ratings that share all later effects. Their sum is that of larger
+        squares, so an RMSE below about 1e-7 of the effects is noise.
         """
         check_na(na)
         needed = {name for model in models for name in MODELS[model]}
@@ -334,11 +336,14 @@ class LadderModel:
             moments += _moments("3", residual - _effect("user"))
         per_item = rows.groupBy("item_id", "year_stamp").agg(*moments)
         with_item = lookup(per_item, _without_n(self.effects["item"]), ["item_id"], balanced=True)
-        listed = lookup(with_item, self.ladder.features(ws, items), ["item_id"], balanced=True)
+        keys = [key for key in _FEATURES if key in _keys_of(needed)]
+        listed = with_item
+        if set(keys) - {"year_stamp"}:
+            listed = lookup(with_item, self.ladder.features(ws, items), ["item_id"], balanced=True)
         sums = [F.sum(c).alias(c) for c in ("n", "n1", "s1", "q1")] + _shifted("1", "2", _effect("item"))
         if "user" in needed:
             sums += _shifted("3", "3", _effect("item"))
-        return ws.keep(listed.groupBy(*_FEATURES).agg(*sums), "error-cells")
+        return ws.keep(listed.groupBy(*keys).agg(*sums), "error-cells")
 
     def save(self, path: str) -> None:
         """Write the model below ``path`` as Parquet tables."""
@@ -369,6 +374,11 @@ class LadderModel:
         return cls(ladder, s.mean, effects, labels, breaks)
 
 
+def _keys_of(needed: set[str]) -> set[str]:
+    """Feature columns that these effects are looked up by."""
+    return {"profile" if rung.name == "group" else rung.key for rung in RUNGS if rung.name in needed}
+
+
 def _without_n(effect: Kept) -> Kept:
     return replace(effect, df=effect.df.drop("n"))
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.functions import label_count, label_flags, rating_year, release_year, sequel_flag
 from starrung.functions.calendar import age_group
-from starrung.functions.measures import mean_of
+from starrung.functions.measures import mean_of, rmse
 from starrung.operators.binning import histogram
 from starrung.operators.effects import apply_effect, fit_effect, global_mean
 from starrung.operators.explore import (
@@ -44,18 +46,23 @@ def _round(value: Column | str) -> Column:
     return F.round(F.round(value, 12), 6)
 
 
-_studies: dict[tuple, Study] = {}
+_studies: dict[tuple, tuple[list, Study]] = {}
 
 
 def _study(spark: SparkSession, sf_dir: str, sparse: bool = False) -> Study:
     """The study of a directory, made once per session so that queries share its splits and fits.
 
-    It is made anew if its tables are gone or the files it was made from have changed.
+    It is made anew if its tables are gone or the files it was made from have
+    changed; the tables of the one before are deleted.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, sparse, *_versions(spark, sf_dir))
-    study = _studies.get(key)
-    if study is None or study.ws.spark is not spark or not study.ws.intact():
-        study = _studies[key] = Study.of_tables(spark, sf_dir, sparse=sparse, as_of_year=AS_OF_YEAR)
+    key = (spark.sparkContext.applicationId, sf_dir, sparse)
+    versions = _versions(spark, sf_dir)
+    known, study = _studies.get(key, (None, None))
+    if study is None or known != versions or study.ws.spark is not spark or not study.ws.intact():
+        if study is not None and study.ws.spark is spark:
+            study.ws.release()
+        study = Study.of_tables(spark, sf_dir, sparse=sparse, as_of_year=AS_OF_YEAR)
+        _studies[key] = versions, study
     return study
 
 
@@ -70,7 +77,7 @@ def _versions(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
 
 def forget_studies() -> None:
     """Delete the tables that queries have shared so far; results not read yet are lost."""
-    for study in _studies.values():
+    for _, study in _studies.values():
         study.ws.release()
     _studies.clear()
 
@@ -97,7 +104,8 @@ def q_read_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_describe_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe_schema(_joined(spark, sf_dir))
+    # A lookup of items with one row per id leaves the number of ratings as it is.
+    return describe_schema(_joined(spark, sf_dir), rows=ratings_of(spark, sf_dir))
 
 
 def q_ratings_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +131,10 @@ def q_label_flags_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_label_flags(spark, sf_dir, "token")
 
 
+def q_label_flags_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_label_flags(spark, sf_dir, "regex")
+
+
 def q_label_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items_of(spark, sf_dir).select("item_id", label_count(F.col("genres")).alias("num_genre"))
 
@@ -338,6 +350,13 @@ def q_score_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).select("side", "item_id", "group", "n")
 
 
+def q_score_group_train_binning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    study = _study(spark, sf_dir)
+    model = study.fit(["4"])
+    model = replace(model, ladder=replace(model.ladder, binning="train"))
+    return model.item_groups(study.ws, study.inner.holdout, study.features).select("item_id", "group", "n")
+
+
 def q_freq_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = _study(spark, sf_dir)
     groups = study.fit(["4"]).item_groups(study.ws, study.inner.train, study.features)
@@ -361,6 +380,22 @@ def q_rmse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _study(spark, sf_dir).compare().select("model", "title", _round("rmse").alias("rmse"))
 
 
+def q_rmse_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of known predictions only; every twentieth rated item is unknown to the scorer."""
+    study = _study(spark, sf_dir)
+    model = study.fit(["2"])
+    item = model.effects["item"]
+    known = study.ws.keep(item.df.where(F.col("item_id") % 20 != 0), "known-items")
+    partial = replace(model, effects={**model.effects, "item": known})
+    scored = partial.evaluate(study.ws, study.inner.holdout, study.features, ["1", "2"], na="skip")
+    return scored.select("model", _round("rmse").alias("rmse"), "scored")
+
+
+def q_rmse_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    error = rmse(F.col("rating"), F.col("prediction"))
+    return _study(spark, sf_dir).final_predictions().agg(_round(error).alias("rmse"))
+
+
 def q_final_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _study(spark, sf_dir).final_score().select("model", _round("rmse").alias("rmse"), "scored")
 
@@ -389,10 +424,23 @@ MODEL_QUERIES = {
 EFFECT_QUERIES = ("item", "user", "group", "num", "age", "release", "sequel", "year")
 
 
+def _once(name: str, query: Query) -> Query:
+    """The query, planned once per study: a repeated call writes no further tables."""
+
+    @wraps(query)
+    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        results = _study(spark, sf_dir).results
+        if name not in results:
+            results[name] = query(spark, sf_dir)
+        return results[name]
+
+    return planned
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         name.removeprefix("q_"): query for name, query in globals().items() if name.startswith("q_")
     }
     found.update({f"effect_{name}": _effect_query(name) for name in EFFECT_QUERIES})
     found.update({name: _model_query(model) for name, model in MODEL_QUERIES.items()})
-    return found
+    return {name: _once(name, query) for name, query in found.items()}

@@ -36,6 +36,8 @@ class Study:
     ):
         self.ws, self.source, self.items, self.ladder = ws, ratings, items, ladder
         self.row_key, self.seeds, self.fractions = row_key, seeds, fractions
+        # What callers have derived from the study and want to use again.
+        self.results: dict[str, DataFrame] = {}
         self._fitted: LadderModel | None = None
         self._refitted: LadderModel | None = None
 

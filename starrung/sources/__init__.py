@@ -4,6 +4,7 @@ from starrung.sources.delimited import (
     ITEM_SCHEMA,
     RATING_SCHEMA,
     describe_schema,
+    malformed_ratings,
     read_items,
     read_ratings,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "describe_schema",
     "items_of",
     "joined",
+    "malformed_ratings",
     "ratings_of",
     "read_items",
     "read_ratings",

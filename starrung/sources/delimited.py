@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,11 +48,25 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def describe_schema(df: DataFrame) -> DataFrame:
-    """Position, name and type of every column, with the number of rows of the table."""
+def malformed_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a ratings file, as ``value``, that are not four fields with numbers in them.
+
+    ``read_ratings`` reads such lines with NULL for what is no number, and leaves surplus fields out.
+    """
+    fields = F.split(F.col("value"), SEPARATOR, -1)
+    kinds = [field.dataType.simpleString() for field in RATING_SCHEMA]
+    numbers = [F.get(fields, F.lit(i)).try_cast(kind).isNotNull() for i, kind in enumerate(kinds)]
+    return spark.read.text(path).where(~((F.size(fields) == len(kinds)) & reduce(and_, numbers)))
+
+
+def describe_schema(df: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Position, name and type of every column, with the number of rows of the table.
+
+    ``rows`` is a table with as many rows that is cheaper to count.
+    """
     columns = [
         F.struct(F.lit(i).alias("position"), F.lit(name).alias("name"), F.lit(kind).alias("type"))
         for i, (name, kind) in enumerate(df.dtypes, start=1)
     ]
-    counted = df.agg(F.count(F.lit(1)).alias("rows"))
+    counted = (df if rows is None else rows).agg(F.count(F.lit(1)).alias("rows"))
     return counted.select("rows", F.inline(F.array(*columns))).select("position", "name", "type", "rows")

@@ -26,24 +26,36 @@ ROW_OVERHEAD = 48
 # How long to wait for the observed values after a table was written.
 OBSERVATION_SECONDS = 60
 
+# Session setting that says a file: path is mounted by all machines.
+SHARED_MOUNT = "spark.starrung.sharedMount"
+
 _local_root: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, from the session; a scratch folder in local mode only."""
+    local = spark.sparkContext.master.startswith("local")
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = checkpoint.get() if checkpoint.isDefined() else None
     if root:
+        if not local and spark.conf.get(SHARED_MOUNT, "false") != "true" and _is_local(spark, root):
+            raise RuntimeError(f"{root} is on each machine's own disk; name a shared folder, or set {SHARED_MOUNT} "
+                               "if it is one that all machines mount")
         return root.rstrip("/")
-    checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if checkpoint.isDefined():
-        return checkpoint.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local_root:
         _local_root.append(tempfile.mkdtemp(prefix="starrung-"))
     return _local_root[0]
 
 
+def _is_local(spark: SparkSession, root: str) -> bool:
+    """Whether a path, by its scheme or by the default one, is on a machine's own disk."""
+    return hadoop_path(spark, root)[1].getUri().getScheme() == "file"
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """A path and the file system it is on."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

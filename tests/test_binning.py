@@ -42,6 +42,38 @@ def test_repeated_breaks_raise_or_merge(spark, ws):
         quantile_breaks(ws, df.limit(0), F.col("x"), 4)
 
 
+def exact_breaks(values, parts):
+    """Positions in whole numbers, then one interpolation."""
+    values, out = sorted(values), []
+    for i in range(parts + 1):
+        rank, rest = divmod((len(values) - 1) * i, parts)
+        low, high = values[rank], values[min(rank + 1, len(values) - 1)]
+        out.append(low + (high - low) * (rest / parts))
+    return out
+
+
+@pytest.mark.parametrize("n", [2, 3, 7, 10, 11, 171, 172, 331, 999, 1000, 1001, 2000])
+def test_breaks_do_not_depend_on_the_path(spark, ws, monkeypatch, n):
+    df = spark.range(n).select((F.col("id") + 1).cast("double").alias("x"))
+    for parts in (4, 10):
+        want = exact_breaks([float(i + 1) for i in range(n)], parts)
+        found = []
+        for single in (0, 1_000_000):
+            monkeypatch.setattr(binning, "SINGLE_TASK_VALUES", single)
+            found += [quantile_breaks(ws, df, F.col("x"), parts, rows=n), quantile_breaks(ws, df, F.col("x"), parts)]
+        assert found == [want] * 4
+
+
+def test_repeated_breaks_keep_the_numbers_of_the_bins(spark, ws):
+    few = frame(spark, [float(max(i, 2)) for i in range(1, 11)])  # the first breaks are equal
+    many = frame(spark, [float(i) for i in range(1, 11)])
+    breaks = quantile_breaks(ws, few, F.col("x"), 9, repeats=True)
+    assert breaks == [2.0, *map(float, range(2, 11))]
+    numbers = rows(few.select(assign_bins(F.col("x"), breaks)).distinct())
+    own = rows(many.where("x > 2").select(assign_bins(F.col("x"), quantile_breaks(ws, many, F.col("x"), 9))))
+    assert [b for b, in numbers] == [1, *[b for b, in own]] == [1, 2, 3, 4, 5, 6, 7, 8, 9]
+
+
 def test_bins_are_closed_on_the_right(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 1.5, 2.0, 3.0, -5.0, 9.0, None)], "x double")
     got = df.select(assign_bins(F.col("x"), [0.0, 1.0, 2.0, 3.0])).collect()

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from starrung import functions as fn
 from starrung.functions.labels import flag_names
 from starrung.functions.measures import max_of, mean_of, min_of
-from starrung.plans.features import get_label_flags, get_release_year
 
 
 def one(spark, value, kind, column):
@@ -61,8 +60,8 @@ def test_label_flag_mode_is_checked():
 def test_movie_labels_have_one_flag_each(spark):
     assert len(fn.MOVIE_LABELS) == 20
     df = spark.createDataFrame([("Sci-Fi|War",)], "genres string")
-    row = get_label_flags(df, fn.MOVIE_LABELS).first().asDict()
-    assert len(row) == 21
+    row = df.select(*fn.label_flags(F.col("genres"), fn.MOVIE_LABELS)).first().asDict()
+    assert len(row) == 20
     assert {k for k, v in row.items() if v == 1} == {"is_scifi", "is_war"}
 
 
@@ -89,11 +88,6 @@ def test_age_group(spark, year, group):
     assert one(spark, year, "int", lambda x: fn.age_group(x, 2020)) == group
 
 
-def test_get_release_year_adds_a_column(spark):
-    df = spark.createDataFrame([(1, "A (1950)")], "id int, title string")
-    assert rows(get_release_year(df)) == [(1, "A (1950)", 1950)]
-
-
 def test_missing_values_propagate_or_are_skipped(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "a double, p double")
     strict = df.agg(fn.rmse(F.col("a"), F.col("p")), mean_of(F.col("p")), min_of(F.col("p")), max_of(F.col("p")))

@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starrung import workspace
-from starrung.operators import copies, joins
+from starrung.operators import joins
 from starrung.operators.copies import expand_copies
 from starrung.operators.joins import heavy_keys, lookup, natural_anti_join, semi_join
 from starrung.workspace import Workspace, measured
@@ -81,9 +81,47 @@ def test_natural_anti_join_on_shared_columns_only(spark, ws):
 def test_expand_copies_in_chunks(spark):
     df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 0), ("d", 3), ("e", 6)], "k string, n bigint")
     for chunk in (1, 3, 100):
-        got = expand_copies(df, "n", chunk).groupBy("k").count()
+        got = expand_copies(df, "n", 17, chunk, task_rows=5).groupBy("k").count()
         assert rows(got) == [("a", 7), ("b", 1), ("d", 3), ("e", 6)]
-    assert copies.CHUNK > 1000
+
+
+@pytest.mark.parametrize("many, copies", [(400, 2500), (1, 1_000_000)])
+def test_copies_come_from_many_tasks(spark, many, copies):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    grouped = spark.range(many * 2).groupBy((F.col("id") % many).alias("k")).agg((F.count("id") * copies / 2).cast("long").alias("n"))
+    tasks = expand_copies(grouped, "n", many * copies).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) > 4 and sum(t["count"] for t in tasks) == many * copies
+    assert max(t["count"] for t in tasks) < many * copies / 2
+
+
+def test_a_local_folder_is_refused_on_a_cluster(tmp_path):
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.checkpoint.dir": f"file://{tmp_path}"}
+
+    session = Session()
+    original = workspace._is_local
+    try:
+        workspace._is_local = lambda spark, root: root.startswith("file:")
+        with pytest.raises(RuntimeError):
+            workspace.shared_root(session)
+        session.conf["spark.starrung.sharedMount"] = "true"
+        assert workspace.shared_root(session) == f"file://{tmp_path}"
+        session.conf = {"spark.checkpoint.dir": "hdfs://there/shared/"}
+        assert workspace.shared_root(session) == "hdfs://there/shared"
+    finally:
+        workspace._is_local = original
+
+
+def test_chained_lookups_read_their_input_once_per_level(spark, ws, skewed, no_broadcast):
+    rows_ = ws.table(skewed, "rows")
+    kept = semi_join(ws, semi_join(ws, rows_, rows_.where("v < 2000"), "k"), rows_.where("v < 1000"), "v")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 6  # rows and keys, once for what moves and once for what stays
+    assert kept.count() == skewed.where("v < 1000").count()
 
 
 def test_measured_size_decides(spark, monkeypatch):

@@ -50,6 +50,15 @@ def test_queries_share_a_study_until_its_files_change(spark, tmp_path):
     assert queries._study(spark, str(tmp_path)) is not second
 
 
+def test_repeated_queries_write_no_further_tables(spark):
+    for name in ("apply_effect", "read_ratings"):
+        QUERIES[name](spark, DATA).count()
+        root = queries._study(spark, DATA).ws.root.removeprefix("file:")
+        before = sorted(os.listdir(root))
+        QUERIES[name](spark, DATA).count()
+        assert sorted(os.listdir(root)) == before
+
+
 def test_forgetting_studies_deletes_their_tables(spark, monkeypatch):
     monkeypatch.setattr(queries, "_studies", {})
     study = queries._study(spark, DATA)

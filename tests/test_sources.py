@@ -1,6 +1,6 @@
 from conftest import rows
 
-from starrung.sources import describe_schema, joined, read_items, read_ratings
+from starrung.sources import describe_schema, joined, malformed_ratings, read_items, read_ratings
 
 
 def test_read_ratings(spark, tmp_path):
@@ -34,3 +34,9 @@ def test_joined_keeps_ratings_of_unlisted_items(spark, ws):
 def test_describe_schema(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
     assert rows(describe_schema(df)) == [(1, "x", "int", 2), (2, "y", "string", 2)]
+
+
+def test_malformed_ratings_are_told(spark, tmp_path):
+    path = tmp_path / "ratings.dat"
+    path.write_text("1::2::3.5::100\n1::x::3.5::100\n1::2::3\n1::2::3::4::5\n\n-1::2::0::0\n")
+    assert rows(malformed_ratings(spark, str(path))) == [("",), ("1::2::3",), ("1::2::3::4::5",), ("1::x::3.5::100",)]

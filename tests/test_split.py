@@ -116,8 +116,8 @@ def test_split_and_repair_keeps_every_row(spark, ws):
     [
         ("dense", {"rows": 6000, "drawn": 602, "validation": 602, "given_back": 0, "work": 5398, "train": 4317,
                    "test_drawn": 1081, "test": 1081}),
-        ("sparse", {"rows": 309, "drawn": 33, "validation": 23, "given_back": 10, "work": 286, "train": 227,
-                    "test_drawn": 59, "test": 33}),
+        ("sparse", {"rows": 6000, "drawn": 602, "validation": 580, "given_back": 22, "work": 5420, "train": 4335,
+                    "test_drawn": 1085, "test": 1034}),
     ],
 )
 def test_split_sizes(request, study, sizes):
