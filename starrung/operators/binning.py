@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
+from itertools import accumulate
 from math import ceil, log2
 from operator import add, or_
 
@@ -15,6 +17,8 @@ from starrung.workspace import Kept, Workspace
 
 # Up to this many distinct values one task adds up their counts; the result is the same either way.
 SINGLE_TASK_VALUES = 1_000_000
+# Up to this many come to the driver instead.
+FEW_VALUES = 1000
 
 
 def value_counts(ws: Workspace, df: DataFrame, value: Column, weight: Column | None = None) -> Kept:
@@ -49,12 +53,15 @@ def quantile_breaks(
     Equal breaks raise an error; with ``dedupe`` they are merged, and with
     ``repeats`` they stay, so that bins keep their numbers and some are empty.
     """
+    breaks = None
     if rows is not None and rows <= SINGLE_TASK_VALUES:
-        counts, few = _counted(df, value, weight), True
-    else:
+        breaks = _breaks_in_one_task(_counted(df, value, weight), parts)
+    elif SINGLE_TASK_VALUES:
+        breaks = _breaks_of_few(_counted(df, value, weight), parts)
+    if breaks is None:
         kept = value_counts(ws, df, value, weight)
-        counts, few = kept.df, kept.rows <= SINGLE_TASK_VALUES
-    breaks = _breaks_by_rank(ws, counts, parts, few)
+        rank = _breaks_in_one_task if kept.rows <= SINGLE_TASK_VALUES else partial(_breaks_by_rank, ws)
+        breaks = rank(kept.df, parts)
     distinct = sorted(set(breaks))
     if len(distinct) == len(breaks) or dedupe:
         return distinct
@@ -63,10 +70,25 @@ def quantile_breaks(
     raise ValueError(f"{len(breaks) - len(distinct)} of {len(breaks)} breaks repeat; too few distinct values")
 
 
-def _breaks_by_rank(ws: Workspace, counts: DataFrame, parts: int, few: bool) -> list[float]:
-    """Quantiles from distinct values and their counts; ``few`` values are added up in one task."""
-    if few:
-        return _breaks_in_one_task(counts, parts)
+def _breaks_of_few(counts: DataFrame, parts: int) -> list[float] | None:
+    """Quantiles of up to ``FEW_VALUES`` distinct values, which are fetched; None if there are more."""
+    got = counts.limit(FEW_VALUES + 1).collect()
+    if len(got) > FEW_VALUES:
+        return None
+    got.sort(key=lambda r: r.value)
+    upto = list(accumulate(r.n for r in got))
+    if not upto:
+        raise ValueError("no values to take quantiles of")
+    out = []
+    for i in range(parts + 1):
+        rank, rest = divmod((upto[-1] - 1) * i, parts)
+        low, high = (got[bisect_right(upto, r)].value for r in (rank, min(rank + 1, upto[-1] - 1)))
+        out.append(_between(low, high, rest, parts))
+    return out
+
+
+def _breaks_by_rank(ws: Workspace, counts: DataFrame, parts: int) -> list[float]:
+    """Quantiles of any number of distinct values, by running totals over ranges of them."""
     rows = counts.agg(F.sum("n")).first()[0]
     if not rows:
         raise ValueError("no values to take quantiles of")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, GroupedData, Window
@@ -168,14 +169,7 @@ def repair_holdout(
     Only keys missing from ``train`` are looked up: a key with many rows is
     hardly ever among them, so that table is short.
     """
-    unknown = {}
-    for key in keys:
-        seen = holdout.select(key, F.lit(False).alias("__known")).unionByName(
-            train.select(key, F.lit(True).alias("__known"))
-        )
-        absent = seen.groupBy(key).agg(F.max("__known").alias(f"__known_{key}"), F.count(F.lit(1)).alias("__rows"))
-        unknown[key] = ws.keep(absent.where(~F.col(f"__known_{key}")), f"unknown-{key}")
-    unknown = {key: table for key, table in unknown.items() if table.rows}
+    unknown = _unknown(ws, train, holdout, keys)
     if not unknown:
         return Repaired(train, holdout, holdout.limit(0))
     checked = holdout
@@ -191,6 +185,33 @@ def repair_holdout(
     return Repaired(train.unionByName(removed) if add_back else train, kept, removed)
 
 
+def _unknown(ws: Workspace, train: DataFrame, holdout: DataFrame, keys: Sequence[str]) -> dict[str, Kept]:
+    """The keys of ``holdout`` that ``train`` lacks, with their rows, for each key column that has some.
+
+    All key columns go through one grouping, each row once for each of them.
+    """
+    def spread(df: DataFrame, known: bool) -> list[DataFrame]:
+        return [
+            df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).select(
+                F.lit(key).alias("__which"), F.lit(known).alias("__known"), "__rows",
+                *[F.col(k) if k == key else F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys])
+            for key in keys
+        ]
+
+    every = reduce(DataFrame.unionByName, spread(holdout, False) + spread(train, True))
+    absent = every.groupBy("__which", *keys).agg(F.max("__known").alias("__known"), F.sum("__rows").alias("__rows"))
+    kept = ws.keep(absent.where(~F.col("__known")), "unknown", **{
+        f"__{what}_{key}": F.count_if((F.col("__which") == key) & condition)
+        for key in keys for what, condition in (("of", F.lit(True)), ("null", F.col(key).isNull()))})
+    found = {}
+    for key in keys:
+        if kept.totals[f"__of_{key}"]:
+            df = kept.df.where(F.col("__which") == key).select(key, F.col("__known").alias(f"__known_{key}"), "__rows")
+            nulls = frozenset([key] if kept.totals[f"__null_{key}"] else [])
+            found[key] = Kept(df, kept.totals[f"__of_{key}"], kept.bytes, nulls)
+    return found
+
+
 class Split(NamedTuple):
     drawn: DataFrame
     train: DataFrame

@@ -201,7 +201,7 @@ class EffectLadder:
                 earlier = _sum(_effect(name) for name in rung.after if name not in ("item", "user"))
                 residual = F.col("total") - F.col("n") * earlier
                 effect = fit_effect_from_sums(left, rung.key, residual, rung.name)
-                effects[rung.name] = ws.keep(effect, f"effect-{rung.name}")
+                effects[rung.name] = ws.few(effect, f"effect-{rung.name}")
             if any(rung.name in later.after for later in RUNGS):
                 left = apply_effect(left, effects[rung.name], rung.key)
         return replace(model, effects=effects)

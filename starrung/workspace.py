@@ -155,6 +155,15 @@ class Workspace:
         found = _observed(seen) or back.agg(*_measures(back), *extra).first().asDict()
         return _kept(back, found, totals)
 
+    def few(self, df: DataFrame, name: str, most: int = 10_000) -> Kept:
+        """A table that is expected to be short: fetched if it has up to ``most`` rows, else written."""
+        got = df.limit(most + 1).toArrow()
+        if got.num_rows > most:
+            return self.keep(df, name)
+        nulls = frozenset(c for c in df.columns if got.column(c).null_count)
+        size = got.nbytes + got.num_rows * ROW_OVERHEAD
+        return Kept(self.spark.createDataFrame(got, schema=df.schema), got.num_rows, size, nulls)
+
     def _read(self, schema: T.StructType, path: str, partition_by: tuple[str, ...]) -> DataFrame:
         fields = [f for f in schema if f.name not in partition_by] + [schema[p] for p in partition_by]
         return self.spark.read.schema(T.StructType(fields)).parquet(path)
