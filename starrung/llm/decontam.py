@@ -132,7 +132,8 @@ def _search(chunk: W.Texts, phrases: Phrases) -> Iterator[tuple[int, int, list,
 
 def _parts(items: DataFrame, name: str, text: str, size: int) -> Iterator[list[tuple[str, str]]]:
     part, used = [], 0
-    for row in items.select(F.coalesce(F.col(name).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))).toLocalIterator():
+    rows = items.select(F.coalesce(F.col(name).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    for row in rows.toLocalIterator():
         part.append((row[0], row[1]))
         used += len(row[1])
         if used >= size:

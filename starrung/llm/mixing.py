@@ -12,8 +12,6 @@ which the target is reached is sorted.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -46,7 +46,8 @@ def mod_97(account: Column) -> Column:
 
 
 def _four_bytes(value: Column) -> Column:
-    return F.forall(F.split(value, r"\."), lambda p: F.regexp_replace(p, "^0+", "").rlike("^([0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
+    small = "^([0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
+    return F.forall(F.split(value, r"\."), lambda part: F.regexp_replace(part, "^0+", "").rlike(small))
 
 
 def _length_within(value: Column, least: int, most: int) -> Column:

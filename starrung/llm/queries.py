@@ -16,9 +16,8 @@ from starrung.llm.lines import remove_shared_lines
 from starrung.llm.mixing import mix
 from starrung.llm.pii import BASE, KINDS, count_of, find_personal_data, listed
 from starrung.llm.quality import score_quality
-from starrung.llm.tables import fold, table
+from starrung.llm.tables import fold, scratch, table
 from starrung.llm.toxicity import find_toxicity
-from starrung.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +30,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = jaccard_components(Workspace(spark), table(spark, sf_dir, "documents"))
+    rows = jaccard_components(scratch(spark, f"op2_jaccard_join {sf_dir}"), table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_shingles", "component_id")
 
 
@@ -65,7 +64,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(Workspace(spark), table(spark, sf_dir, "documents"))
+    return exact_duplicates(scratch(spark, f"op4_exact_dedup {sf_dir}"), table(spark, sf_dir, "documents"))
 
 
 OP4_SQL = r"""
@@ -136,7 +135,8 @@ from f
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = find_benchmark(Workspace(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    rows = find_benchmark(scratch(spark, f"op7_decontaminate {sf_dir}"), docs, items)
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"),
@@ -145,7 +145,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(Workspace(spark), table(spark, sf_dir, "documents"))
+    return mix(scratch(spark, f"op8_mix_sources {sf_dir}"), table(spark, sf_dir, "documents"))
 
 
 OP8_SQL = r"""
@@ -185,7 +185,7 @@ from ends
 """
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = remove_shared_lines(Workspace(spark), table(spark, sf_dir, "documents"))
+    rows = remove_shared_lines(scratch(spark, f"op9_line_dedup {sf_dir}"), table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -207,7 +207,7 @@ group by d.r, d.doc_id
 def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     seventh = fold(F.col("doc_id"), 7)
-    rows = lattice_likelihood(Workspace(spark), docs, seventh != 2)
+    rows = lattice_likelihood(scratch(spark, f"op10_lattice_lm {sf_dir}"), docs, seventh != 2)
     return rows.select("doc_id", (seventh == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -6,13 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starrung.operators.joins import BROADCAST_BYTES
-from starrung.workspace import Kept
+from starrung.workspace import Kept, Workspace
 
 # The characters that separate words, as a class of Java and of RE2.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
+_spaces: dict[tuple[str, str], Workspace] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> Workspace:
+    """Room for the tables behind one result. Those of the last result of that name in this session are deleted,
+    so that repeated calls take no more space; a result must be read before it is made again."""
+    key = spark.sparkContext.applicationId, name
+    if key in _spaces:
+        _spaces.pop(key).release()
+    _spaces[key] = Workspace(spark)
+    return _spaces[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

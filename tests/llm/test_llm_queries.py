@@ -13,6 +13,7 @@ from test_jaccard import plain as plain_jaccard
 
 import __spark_entry__ as entry
 from starrung.llm.queries import QUERIES, SQL
+from starrung.llm.tables import scratch
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,14 @@ def test_all_operators_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
+def test_a_repeated_call_replaces_the_tables_of_the_last(spark):
+    first = scratch(spark, "twice")
+    first.table(spark.range(3), "t").count()
+    second = scratch(spark, "twice")
+    second.table(spark.range(3), "t").count()
+    assert second.intact() and not first.intact()
+
+
 def test_pipeline_like_plain_stages(spark, tmp_path):
     docs = read(spark, "documents")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "jaccard_join", "decontamination", "mixing"]
