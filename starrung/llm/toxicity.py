@@ -22,8 +22,10 @@ from starrung.llm import words as W
 from starrung.llm.sample import labelled_sample, without_copies
 
 # Bounds of the sample that is fitted: documents per label and bytes of a text.
-MOST_DOCUMENTS = {0: 4000, 1: 2000}
+MOST_DOCUMENTS = {0: 2500, 1: 1250}
 MOST_BYTES = 20_000
+# The driver looks at so many bytes of the sample at a time.
+SAMPLE_BYTES = 1 << 19
 SEGMENT = 48
 PLAIN_SEGMENTS = 1000
 ROUNDS = 120
@@ -177,29 +179,38 @@ def marginals(field: Field, row: np.ndarray, marked: np.ndarray, extra: np.ndarr
 
 
 def _words_of(sample: pa.Table):
-    """Words of the sample a few megabytes at a time: hash sums, starts, ends, and the document of each."""
+    """Words of the sample, some texts at a time: hash sums, starts, ends, and the document of each."""
     done = 0
     for column in sample.column("text").chunks:
-        for chunk in W.chunks(column):
+        for chunk in W.chunks(column, SAMPLE_BYTES):
             data = W.LOWER[chunk.data]
             starts, ends, row = W.spans(data, chunk.offsets, _INSIDE)
             yield W.sums(data), starts, ends, row + done + chunk.first
         done += len(column)
 
 
-def _documents_with(sample: pa.Table, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All features of the sample in order, with the toxic and the other documents that have each."""
-    known, toxic, clean = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+def _documents_with(sample: pa.Table, label: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All features of one kind in order, with the toxic and the other documents that have each."""
+    known, toxic, clean = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     for total, starts, ends, row in _words_of(sample):
-        for which, h in features_of(total, starts, ends):
-            order = np.lexsort((row[which], h))
-            h, d = h[order], row[which][order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            h, y = h[new], label[d[new]]
-            known, back = np.unique(np.concatenate([known, h]), return_inverse=True)
-            toxic = np.bincount(back, np.concatenate([toxic, y == 1]), len(known))
-            clean = np.bincount(back, np.concatenate([clean, y == 0]), len(known))
+        which, h = features_of(total, starts, ends)[kind]
+        order = np.lexsort((row[which], h))
+        h, d = h[order], row[which][order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+        h, y = h[new], label[d[new]]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        ones = np.add.reduceat(y, first).astype(np.int32) if len(h) else toxic[:0]
+        rest = np.diff(np.append(first, len(h))).astype(np.int32) - ones
+        h = h[first]
+        at = np.searchsorted(known, h)
+        have = np.zeros(len(h), bool)
+        inside = at < len(known)
+        have[inside] = known[at[inside]] == h[inside]
+        toxic[at[have]] += ones[have]
+        clean[at[have]] += rest[have]
+        known, toxic, clean = (np.insert(old, at[~have], more[~have])
+                               for old, more in ((known, h), (toxic, ones), (clean, rest)))
     return known, toxic, clean
 
 
@@ -208,14 +219,23 @@ def _associated(sample: pa.Table, label: np.ndarray) -> tuple[np.ndarray, np.nda
 
     The bound of the likelihood ratio grows with the number of features that are tested.
     """
-    known, toxic, clean = _documents_with(sample, label)
-    both, share = toxic + clean, label.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0) + np.where(
-            clean > 0, clean * np.log(clean / (both * (1 - share))), 0)
-    odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
-    chosen = (ratio > math.log(max(len(known), 1)) + 1) & (odds > math.log(MIN_ODDS))
-    return known[chosen], odds[chosen] > math.log(SURE_ODDS)
+    share, tested, found = label.mean(), 1, []
+    for kind in range(_FEATURES):
+        known, toxic, clean = _documents_with(sample, label, kind)
+        tested += len(known)
+        likely = toxic > 0
+        known, toxic, clean = known[likely], toxic[likely].astype(np.float64), clean[likely].astype(np.float64)
+        both = toxic + clean
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = toxic * np.log(toxic / (both * share)) + np.where(
+                clean > 0, clean * np.log(clean / (both * (1 - share))), 0)
+        odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
+        some = odds > math.log(MIN_ODDS)
+        found.append((known[some], ratio[some], odds[some]))
+    known, ratio, odds = map(np.concatenate, zip(*found))
+    known, first = np.unique(known, return_index=True)
+    chosen = ratio[first] > math.log(tested) + 1
+    return known[chosen], odds[first][chosen] > math.log(SURE_ODDS)
 
 
 def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
