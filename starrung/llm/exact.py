@@ -27,11 +27,15 @@ def normalised(text: Column) -> Column:
 
 
 def _split(ws: Workspace, left: DataFrame, width: int, level: int) -> Kept:
-    """The groups of more than one row that the next ``width`` bytes make."""
+    """The groups of more than one row that the next ``width`` bytes make, each with a name of its own.
+
+    Keys can't name them: they may be null, or those of several texts.
+    """
     part, more = F.substring("rest", 1, width).alias("p"), (F.octet_length("rest") > width).alias("m")
     groups = left.groupBy(F.col("group").alias("g"), part, more).agg(
         F.min("row").alias("least"), F.count(F.lit(1)).alias("size"))
-    return ws.keep(groups.where("size > 1"), f"radix-{level}")
+    # Written with the table, so all that read it see the same names.
+    return ws.keep(groups.where("size > 1").withColumn("name", F.monotonically_increasing_id()), f"radix-{level}")
 
 
 def _named(left: DataFrame, split: Kept, width: int, how: str) -> DataFrame:
@@ -42,7 +46,7 @@ def _named(left: DataFrame, split: Kept, width: int, how: str) -> DataFrame:
     if "group" in left.columns and how == "inner":
         met &= rows["group"].eqNullSafe(names["g"])
     return rows.join(names, met, how).select(
-        "row", "digest", "least", "size", "more",
+        "row", "digest", "name", "least", "size", "more",
         F.when(F.col("size").isNotNull(), F.substring("rest", width + 1, 2**31 - 1)).alias("rest"))
 
 
@@ -58,7 +62,7 @@ def exact_duplicates(ws: Workspace, docs: DataFrame, key: str = "doc_id", text:
     with different texts apart; groups are formed without it. Other columns
     are ignored, and an empty table gives an empty result.
     """
-    base = docs.select(F.col(key).alias("row"), F.lit(None).cast(dict(docs.dtypes)[key]).alias("group"),
+    base = docs.select(F.col(key).alias("row"), F.lit(None).cast("long").alias("group"),
                        normalised(docs[text]).alias("rest"))
     split = _split(ws, base, first, 0)
     every = ws.keep(
@@ -69,7 +73,7 @@ def exact_duplicates(ws: Workspace, docs: DataFrame, key: str = "doc_id", text:
     while current.totals["going"]:
         width, level = min(width * growth, LONGEST_BYTES), level + 1
         left = current.df.where(F.col("size").isNotNull() & F.col("more")).select(
-            "row", "digest", F.col("least").alias("group"), "rest")
+            "row", "digest", F.col("name").alias("group"), "rest")
         split = _split(ws, left, width, level)
         current = ws.keep(_named(left, split, width, "inner"), f"radix-rows-{level}",
                           going=F.count_if(F.col("more")))

@@ -41,3 +41,10 @@ def test_edge_cases(spark, ws):
     assert result(exact_duplicates(ws, documents(spark, rows))) == plain(rows)
     assert exact_duplicates(ws, documents(spark, rows).limit(0)).collect() == []
     assert result(exact_duplicates(ws, documents(spark, rows[:1]))) == plain(rows[:1])
+
+
+def test_long_texts_under_repeated_and_null_ids(spark, ws):
+    x, y = "x" * 64, "y" * 64
+    rows = [(5, x + "t"), (6, x + "t"), (5, y + "t"), (7, y + "t"), (None, x + "u"), (None, x + "u"), (None, y + "u"),
+            (None, y + "u"), (8, x * 40), (8, y * 40), (9, x * 40), (9, y * 40), (9, y * 40 + "z")]
+    assert result(exact_duplicates(ws, documents(spark, rows))) == plain(rows)
