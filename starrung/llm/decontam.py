@@ -191,15 +191,15 @@ def find_benchmark(ws: Workspace, docs: DataFrame, items: DataFrame, key: str =
     occurring phrase; a null id is an empty string, repeated items count once.
     Null and empty texts have no words. An empty benchmark finds nothing.
     Words are told apart by a 64-bit hash. Other columns are ignored.
-    With a benchmark of several parts, rows equal in key and text share a row.
+    With a benchmark of several parts, rows equal in key and text are searched once.
     """
     parts = _parts(items, item, item_text, part_bytes)
     first, second = next(parts, []), next(parts, None)
     if second is None:
         return _pass(docs, key, text, first, window)
-    with_id = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("a"),
-                                   F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("b")).alias("row"),
-                          F.col(text).alias("text")).dropDuplicates(["row"])
+    name = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("a"),
+                    F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("b"))
+    with_id = docs.select(name.alias("row"), F.col(text).alias("text")).dropDuplicates(["row"])
     passes = [ws.table(_pass(with_id, "row", "text", part, window), "benchmark-pass") for part in (first, second)]
     passes += [ws.table(_pass(with_id, "row", "text", part, window), "benchmark-pass") for part in parts]
     every = passes[0]
@@ -209,4 +209,5 @@ def find_benchmark(ws: Workspace, docs: DataFrame, items: DataFrame, key: str =
     hit = every.where("n_hit > 0").groupBy("row").applyInPandas(_together, f"row {kind}, {FOUND}")
     clean = passes[0].join(hit.select(F.col("row").alias("r")), F.col("row") == F.col("r"), "left_anti")
     clean = clean.select("row", "n_words", F.lit(0).cast("long").alias("n_hit"), "spans", "items")
-    return hit.unionByName(clean).select(F.col("row.key").alias(key), "n_words", "n_hit", "spans", "items")
+    rows = docs.select(name.alias("d")).join(hit.unionByName(clean), F.col("d") == F.col("row"))
+    return rows.select(F.col("d.key").alias(key), "n_words", "n_hit", "spans", "items")

@@ -82,6 +82,15 @@ def test_edge_cases(spark, ws):
     assert find_benchmark(ws, docs.limit(0), items).collect() == []
 
 
+def test_repeated_rows_with_a_benchmark_of_parts(spark, ws):
+    rows = [(1, "one two three"), (1, "one two three"), (1, "four"), (None, "none"), (None, "none"), (2, None), (2, None),
+            (2, ""), (None, "four five"), (None, "four five")]
+    bench = [(1, "two three"), (2, "four"), (3, "five"), (4, "six")]
+    docs, items = documents(spark, rows), spark.createDataFrame(bench, "item_id long, text string")
+    for part_bytes in (1 << 24, 1):
+        assert result(find_benchmark(ws, docs, items, part_bytes=part_bytes).collect()) == plain(rows, bench)
+
+
 def test_index():
     rng = np.random.default_rng(1)
     for n, sigma in ((1, 1), (50, 2), (500, 3), (3000, 40)):
