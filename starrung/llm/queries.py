@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starrung.llm.bpe import decode_documents, encode_documents
+from starrung.llm.centroids import CLUSTERS, DIMENSIONS, ROUNDS, SCALE, SEED, cluster_vectors
 from starrung.llm.decontam import find_benchmark
 from starrung.llm.exact import exact_duplicates
+from starrung.llm.infill import fill_in_middle, restore_middle
 from starrung.llm.jaccard import jaccard_components
 from starrung.llm.language import identify_language
 from starrung.llm.lattice import lattice_likelihood
@@ -211,6 +214,81 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (seventh == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(scratch(spark, f"op11_centroids {sf_dir}"), table(spark, sf_dir, "embeddings"))
+    digests = F.array(*[F.lit(d) for d in found.digests()]).cast("array<string>")
+    return found.rows.withColumn("centroid_sha256", F.get(digests, F.col("cluster")))
+
+
+def _op11_sql() -> str:
+    """The rounds written out one after the other."""
+    away = "list_sum(list_transform(range(1, {0} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::bigint".format(DIMENSIONS)
+    steps = [f"""
+with kept as materialized (
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as v
+    from embeddings where len(embedding) = {DIMENSIONS}
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+    select (row_number() over (order by h, v)) - 1 as k, v as c
+    from (select sha256('{SEED}:' || coalesce(vec_id::varchar, '')) as h, v from kept order by h, v limit {CLUSTERS})
+)"""]
+    for i in range(ROUNDS + 1):
+        steps.append(f"""
+a{i} as materialized (
+    select r, min({{'d': d, 'k': k}}) as best from (select r, k, {away} as d from kept, c{i}) group by r
+)""")
+        if i < ROUNDS:
+            steps.append(f"""
+c{i + 1} as materialized (
+    select o.k, coalesce(n.c, o.c) as c from c{i} o left join (
+        select k, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as c from (
+            select best.k as k, i, sum(x) as s, count(*) as n from (
+                select r, unnest(v) as x, unnest(range({DIMENSIONS})) as i from kept) join a{i} using (r) group by 1, 2)
+        group by k) n using (k)
+)""")
+    return ",".join(steps) + f"""
+select vec_id, best.k::int as cluster, best.d as distance, sum(best.d) over (partition by best.k)::bigint as cluster_inertia,
+       sum(best.d) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{ROUNDS} join kept using (r) join c{ROUNDS} on k = best.k
+"""
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = encode_documents(table(spark, sf_dir, "documents"))
+    ids = ids.withColumns({"n_tokens": F.size("ids").cast("long"),
+                           "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)})
+    rows = decode_documents(ids, carry=("n_tokens", "ids_sha256"))
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents")).withColumn("output_sha256", F.sha2("output", 256))
+    columns = ("n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    rows = restore_middle(made, carry=columns)
+    return rows.select("doc_id", *columns, F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP13_SQL = r"""
+with drawn as (
+    select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+), cut as (
+    select doc_id, t, length(t)::bigint as n, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4,
+           ('0x' || h[1:8])::bigint % (length(t) + 1) as x, ('0x' || h[9:16])::bigint % (length(t) + 1) as y
+    from drawn
+), formed as (
+    select *, least(x, y) as a, greatest(x, y) as b,
+           case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                when h4 % 100 < 20 then 'spm' else 'psm' end as form from cut
+), parts as (
+    select *, substring(t, 1, a) as p, substring(t, a + 1, b - a) as m, substring(t, b + 1) as s from formed
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from parts
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_jaccard_join": op2_jaccard_join,
@@ -222,6 +300,9 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_lattice_lm": op10_lattice_lm,
+    "op11_centroids": op11_centroids,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 SQL: dict[str, str] = {
@@ -230,4 +311,6 @@ SQL: dict[str, str] = {
     "op6_personal_data": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op11_centroids": _op11_sql(),
+    "op13_fill_in_middle": OP13_SQL,
 }
