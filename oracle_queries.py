@@ -102,6 +102,23 @@ OUTER = split_ctes("ratings", ("drawn1", "rest1", "validation", "work"), 1, 0.1,
 INNER = split_ctes("work", ("drawn2", "rest2", "test", "train"), 42, 0.2, False)
 
 
+# Predictions of the first three models for a hold-out as it was drawn.
+KNOWN = """
+mean as materialized (select avg(rating) as mu from train),
+by_item as materialized (select item_id, avg(rating - mu) as item_effect from train, mean group by 1),
+by_user as materialized (
+  select user_id, avg(rating - mu - item_effect) as user_effect from train join by_item using (item_id), mean group by 1
+),
+known as materialized (
+  select rating, mu as p1, mu + item_effect as p2, mu + item_effect + user_effect as p3
+  from drawn2 left join by_item using (item_id) left join by_user using (user_id), mean
+)"""
+
+
+def _known_rmse(model: str) -> str:
+    return _r6(f"sqrt(avg((rating - p{model}) * (rating - p{model})))")
+
+
 def ladder_ctes(train: str, test: str) -> str:
     """CTEs of the whole ladder; ``scored`` has the rows of ``test`` with one prediction per model."""
     lab = ",\n  ".join(
@@ -406,13 +423,11 @@ select "group", count(*) as count from tr4 where "group" is not null group by 1
         "rmse_table": _with(*ladder, select="\nunion all ".join(
             f"select '{m}' as model, '{MODEL_TITLES[m]}' as title, {_rmse(m)} as rmse from scored"
             for m in ("1", "2", "3", "4", "5", "6b", "7", "8"))),
-        "rmse_skip": _with(*ladder, """
-known as (
-  select t.rating, p1, case when item_id % 20 <> 0 then p2 end as p2 from scored s join te0 t using (row_key)
-)""", select=f"""
-select '1' as model, {_r6('sqrt(avg((rating - p1) * (rating - p1)))')} as rmse, count(p1) as scored from known
-union all
-select '2', {_r6('sqrt(avg((rating - p2) * (rating - p2)))')}, count(p2) from known"""),
+        "rmse_skip": _with(*sparse_inner, KNOWN, select="\nunion all ".join(
+            f"select '{m}' as model, {_known_rmse(m)} as rmse, count(p{m}) as scored from known" for m in "123")),
+        "rmse_unrepaired": _with(*sparse_inner, KNOWN, select="\nunion all ".join(
+            f"select '{m}' as model, case when count(p{m}) = count(*) then {_known_rmse(m)} end as rmse, "
+            f"count(p{m}) as scored from known" for m in "123")),
         "rmse_aggregate": _with(*final, select=f"select {_rmse('8')} as rmse from scored"),
         "final_rmse": _with(*final, select=f"select '8' as model, {_rmse('8')} as rmse, count(p8) as scored from scored"),
         "final_predictions": _with(*final, select=f"select row_key, rating, {_r6('p8')} as prediction from scored"),

@@ -380,17 +380,24 @@ def q_rmse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _study(spark, sf_dir).compare().select("model", "title", _round("rmse").alias("rmse"))
 
 
-def q_rmse_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of known predictions only; every twentieth rated item is unknown to the scorer."""
-    study = _study(spark, sf_dir)
-    model = study.fit(["2"])
-    item = model.effects["item"]
-    known = study.ws.keep(item.df.where(F.col("item_id") % 20 != 0), "known-items")
-    partial = replace(model, effects={**model.effects, "item": known})
-    scored = partial.evaluate(study.ws, study.inner.holdout, study.features, ["1", "2"], na="skip")
+def _rmse_unrepaired(spark: SparkSession, sf_dir: str, na: str) -> DataFrame:
+    """Errors on a hold-out as it was drawn: some of its users and items are not in train, so their effects are unknown."""
+    study = _study(spark, sf_dir, sparse=True)
+    models = ["1", "2", "3"]
+    scored = study.fit(models).evaluate(study.ws, study.inner.drawn, study.features, models, na=na)
     return scored.select("model", _round("rmse").alias("rmse"), "scored")
 
 
+def q_rmse_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of known predictions only."""
+    return _rmse_unrepaired(spark, sf_dir, "skip")
+
+
+def q_rmse_unrepaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unknown prediction makes the error of its model unknown; ``scored`` tells how many are known."""
+    return _rmse_unrepaired(spark, sf_dir, "propagate")
+
+
 def q_rmse_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     error = rmse(F.col("rating"), F.col("prediction"))
     return _study(spark, sf_dir).final_predictions().agg(_round(error).alias("rmse"))
