@@ -40,7 +40,7 @@ class Phrases:
             for chunk in W.chunks(pa.array([text], pa.string())):
                 data = W.LOWER[chunk.data]
                 starts, ends, _ = W.spans(data, chunk.offsets, _INSIDE)
-                seq = W.hashes(W.sums(data), starts, ends).tolist()
+                seq = W.hashes(W.sums(data, starts, ends), starts, ends).tolist()
                 for i in range(max(1, len(seq) - window + 1) if seq else 0):
                     of[tuple(seq[i : i + window])].add(name)
         self.words = np.unique(np.array([w for p in of for w in p], np.uint64))
@@ -95,7 +95,7 @@ def _search(chunk: W.Texts, phrases: Phrases) -> Iterator[tuple[int, int, list,
     items: dict[int, set] = defaultdict(set)
     hits = np.zeros(rows, np.int64)
     if len(starts) and len(phrases.words):
-        symbol = phrases.numbers(W.hashes(W.sums(data), starts, ends))
+        symbol = phrases.numbers(W.hashes(W.sums(data, starts, ends), starts, ends))
         text, place = _runs(symbol, row, phrases.shortest)
         if len(text):
             index = FMIndex(text)

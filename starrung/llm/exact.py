@@ -1,11 +1,12 @@
 """Exact duplicates by most-significant-digit radix partitioning; texts are compared as they are, without digests.
 
 Level by level, each group of texts that agree so far is split by its next
-stretch of bytes. A group of one text is done, and so is a group whose texts
-have ended. The stretch grows with the level, so a text of n bytes takes about
+digit, some bytes. A group of one text is done, and so is a group whose texts
+have ended. Digits grow with the level, so a text of n bytes takes about
 log(n) levels, and only texts that still agree with another are carried along.
-Groups are counted with map-side aggregation, and a hot group's rows are never
-brought together: they only learn the name of their group, by a lookup.
+Digits are counted with map-side aggregation, and rows learn the name of their
+group by a lookup that keeps frequent digits out of the shuffle, so the rows of a hot group are
+never brought together. Rows go by a number that is written once.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starrung.llm.tables import SPACE_CLASS, sized
+from starrung.llm.tables import SPACE_CLASS
+from starrung.operators.joins import lookup
 from starrung.workspace import Kept, Workspace
 
-FIRST_BYTES = 64
-GROWTH = 16
+FIRST_BYTES = 8
+GROWTH = 8
 LONGEST_BYTES = 1 << 20
 
 
@@ -26,28 +28,24 @@ def normalised(text: Column) -> Column:
     return F.encode(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS, " "), "UTF-8")
 
 
-def _split(ws: Workspace, left: DataFrame, width: int, level: int) -> Kept:
-    """The groups of more than one row that the next ``width`` bytes make, each with a name of its own.
+def _digits(rows: DataFrame, width: int) -> DataFrame:
+    """Rows with their next ``width`` bytes, and whether there are more behind them."""
+    return rows.withColumns({"part": F.substring("rest", 1, width), "more": F.octet_length("rest") > width})
 
-    Keys can't name them: they may be null, or those of several texts.
+
+def _split(ws: Workspace, left: DataFrame, keys: list[str], level: int) -> Kept:
+    """The groups of more than one row that the digits make, each with a name of its own.
+
+    Keys of rows can't name them: they may be null, or those of several texts.
     """
-    part, more = F.substring("rest", 1, width).alias("p"), (F.octet_length("rest") > width).alias("m")
-    groups = left.groupBy(F.col("group").alias("g"), part, more).agg(
-        F.min("row").alias("least"), F.count(F.lit(1)).alias("size"))
+    groups = left.groupBy(*keys).agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("size"))
     # Written with the table, so all that read it see the same names.
     return ws.keep(groups.where("size > 1").withColumn("name", F.monotonically_increasing_id()), f"radix-{level}")
 
 
-def _named(left: DataFrame, split: Kept, width: int, how: str) -> DataFrame:
-    """Rows with the group of the split that they are in, and with what is left of their text."""
-    rows = left.withColumns({"part": F.substring("rest", 1, width), "more": F.octet_length("rest") > width})
-    names = sized(split)
-    met = (rows["part"] == names["p"]) & (rows["more"] == names["m"])
-    if "group" in left.columns and how == "inner":
-        met &= rows["group"].eqNullSafe(names["g"])
-    return rows.join(names, met, how).select(
-        "row", "digest", "name", "least", "size", "more",
-        F.when(F.col("size").isNotNull(), F.substring("rest", width + 1, 2**31 - 1)).alias("rest"))
+def _rest(width: int) -> Column:
+    """What is left of the texts that go on."""
+    return F.when(F.col("size").isNotNull() & F.col("more"), F.substring("rest", width + 1, 2**31 - 1)).alias("rest")
 
 
 def exact_duplicates(ws: Workspace, docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -58,34 +56,34 @@ def exact_duplicates(ws: Workspace, docs: DataFrame, key: str = "doc_id", text:
     the smallest key is kept; null keys count as the largest. Rows that repeat
     both key and text are told by ``repeated``, how many of them there are;
     each counts for ``group_size``, and all of them are marked as kept if their
-    key is. The digest names the text in the result and tells rows of one key
-    with different texts apart; groups are formed without it. Other columns
-    are ignored, and an empty table gives an empty result.
+    key is. The digest names the text in the result; nothing is grouped or joined
+    by it. Other columns are ignored, and an empty table gives an empty result.
     """
-    base = docs.select(F.col(key).alias("row"), F.lit(None).cast("long").alias("group"),
-                       normalised(docs[text]).alias("rest"))
-    split = _split(ws, base, first, 0)
-    every = ws.keep(
-        _named(base.withColumn("digest", F.sha2("rest", 256)), split, first, "left"), "radix-rows-0",
-        going=F.count_if(F.col("size").isNotNull() & F.col("more")))
-    ended = [every.df.where(F.col("size").isNotNull() & ~F.col("more"))]
+    base = _digits(docs.select(F.col(key).alias("row"), normalised(docs[text]).alias("rest")), first)
+    going = F.col("size").isNotNull() & F.col("more")
+    split = _split(ws, base, ["part", "more"], 0)
+    every = lookup(base.withColumn("digest", F.sha2("rest", 256)), split, ["part", "more"])
+    every = ws.keep(every.select(F.monotonically_increasing_id().alias("number"), "row", "digest", "name", "least", "size",
+                                 "more", _rest(first)), "radix-rows-0", going=F.count_if(going))
+    columns = ["number", "row", "name", "least", "size"]
+    ended = [every.df.where(F.col("size").isNotNull() & ~F.col("more")).select(*columns, F.lit(0).alias("level"))]
     current, width, level = every, first, 0
     while current.totals["going"]:
         width, level = min(width * growth, LONGEST_BYTES), level + 1
-        left = current.df.where(F.col("size").isNotNull() & F.col("more")).select(
-            "row", "digest", F.col("name").alias("group"), "rest")
-        split = _split(ws, left, width, level)
-        current = ws.keep(_named(left, split, width, "inner"), f"radix-rows-{level}",
-                          going=F.count_if(F.col("more")))
-        ended.append(current.df.where(~F.col("more")))
+        left = _digits(current.df.where(going).select("number", "row", F.col("name").alias("group"), "rest"), width)
+        split = _split(ws, left, ["group", "part", "more"], level)
+        current = lookup(left, split, ["group", "part", "more"], "inner")
+        current = ws.keep(current.select(*columns, "more", _rest(width)), f"radix-rows-{level}", going=F.count_if("more"))
+        ended.append(current.df.where(~F.col("more")).select(*columns, F.lit(level).alias("level")))
     groups = ended[0]
     for rows in ended[1:]:
         groups = groups.unionByName(rows)
-    found = ws.keep(groups.groupBy(F.col("row").alias("r"), F.col("digest").alias("d")).agg(
-        F.min("least").alias("least"), F.max("size").alias("size"), F.count(F.lit(1)).alias("same")), "exact-groups")
-    rows = every.df.select("row", "digest")
-    names = sized(found)
-    return rows.join(names, rows["row"].eqNullSafe(names["r"]) & (rows["digest"] == names["d"]), "left").select(
+    same = groups.groupBy("level", "name", "row").agg(F.count(F.lit(1)).alias("same"))
+    same = ws.keep(same.where("same > 1"), "repeated-rows")
+    groups = lookup(groups, same, ["level", "name", "row"])
+    found = ws.keep(groups.select("number", "least", "size", F.coalesce("same", F.lit(1)).alias("same")), "exact-groups")
+    # Each number is there once.
+    return lookup(every.df.select("number", "row", "digest"), found, ["number"], balanced=True).select(
         F.col("row").alias(key), F.coalesce("least", "row").alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce("least", "row").eqNullSafe(F.col("row")).alias("kept"), F.col("digest").alias("text_sha256"),

@@ -52,7 +52,6 @@ def letter_vector(point: int, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 def bundle(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """The sum of the trigram vectors of each text, as rows; zeros for a text without letters."""
-    out = np.zeros((len(texts), dimensions), np.float32)
     points = np.frombuffer(("\n" + "".join(t + "\n" for t in texts)).encode("utf-32-le"), np.uint32)
     row = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
     row = np.concatenate([[0], row])
@@ -60,7 +59,12 @@ def bundle(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     kept = letters != 0
     kept[0] = True
     kept[1:] |= letters[:-1] != 0
-    letters, row = letters[kept], row[kept]
+    return _bundled(letters[kept], row[kept], len(texts), dimensions)
+
+
+def _bundled(letters: np.ndarray, row: np.ndarray, rows: int, dimensions: int) -> np.ndarray:
+    """The sums over all runs of three letters, with one 0 between words; a 0 in the middle counts within a row only."""
+    out = np.zeros((rows, dimensions), np.float32)
     if len(letters) < 3:
         return out
     alphabet, code = np.unique(letters, return_inverse=True)
@@ -83,25 +87,29 @@ def bundle(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
         part = kinds[low : low + COLUMNS]
         vectors = twice[part // base**2] * turned[part // base % base] * basis[part % base]
         a, b = np.searchsorted(column, [low, low + COLUMNS])
-        counts = np.zeros((len(texts), len(part)), np.float32)
+        counts = np.zeros((rows, len(part)), np.float32)
         counts[of[a:b], column[a:b] - low] = count[a:b]
         out += counts @ vectors.astype(np.float32)
     return out
 
 
 def bundle_whole(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
-    """``bundle``, with a very long text added up from slices that end at its white space where possible."""
+    """``bundle``, with a very long text added up from slices; each takes over the last two letters of the one before."""
     if max(map(len, texts), default=0) <= SLICE:
         return bundle(texts, dimensions)
     out = np.zeros((len(texts), dimensions), np.float32)
     for i, text in enumerate(texts):
-        at = 0
-        while at < len(text):
-            end = at + SLICE
-            if end < len(text):
-                end = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end)) + 1 or end
-            out[i] += bundle([text[at:end]], dimensions)[0]
-            at = end
+        last = np.zeros(1, np.int32)
+        for at in range(0, len(text), SLICE):
+            part = text[at : at + SLICE] + ("\n" if at + SLICE >= len(text) else "")
+            new = _folded(np.frombuffer(part.encode("utf-32-le"), np.uint32))
+            letters = np.concatenate([last, new])
+            kept = letters != 0
+            kept[: len(last)] = True
+            kept[1:] |= letters[:-1] != 0
+            letters = letters[kept]
+            out[i] += _bundled(letters, np.zeros(len(letters), np.int64), 1, dimensions)[0]
+            last = letters[-2:]
     return out
 
 

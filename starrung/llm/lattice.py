@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starrung.llm import words as W
+from starrung.operators.joins import lookup
 from starrung.workspace import Workspace
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -33,6 +34,9 @@ PRIOR_WORDS = 1000.0
 # Cells of a batch of words that are as long as the longest of them.
 CELLS = 1 << 20
 MERGE_WORDS = 1 << 19
+# Words of more bytes are gone through in windows of positions, so many at a time; others together, up to so many bytes.
+LONG_WORD, WINDOW, STRIP_WINDOWS = 4096, 512, 128
+GROUP_BYTES = 1 << 20
 COUNT_UNITS = 1000
 _MARK = "▁".encode()
 
@@ -106,15 +110,14 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _edges(data: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Number of the piece that covers ``length`` bytes from a position, or -1, by length and position."""
-    total = W.sums(data)
     end = np.repeat(offsets[1:], np.diff(offsets))
     at = np.arange(len(data))
     found = np.full((pieces.longest + 1, len(data)), -1, np.int32)
-    for length in range(1, pieces.longest + 1):
-        inside = np.flatnonzero(at + length <= end)
+    for length, hashes in W.growing_hashes(data, pieces.longest):
+        inside = np.flatnonzero(at[: len(hashes)] + length <= end[: len(hashes)])
         if not len(inside):
             break
-        h = W.hashes(total, inside, inside + length)
+        h = hashes[inside]
         near = np.flatnonzero(pieces.maybe[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
         place = np.minimum(np.searchsorted(pieces.hashes, h[near]), len(pieces.hashes) - 1)
         same = pieces.hashes[place] == h[near]
@@ -122,6 +125,21 @@ def _edges(data: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> np.ndarray:
     return found
 
 
+def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of words to look at together: a long word alone, others a megabyte at a time."""
+    long = np.flatnonzero(np.diff(offsets) > LONG_WORD)
+    first = 0
+    while first < len(offsets) - 1:
+        following = int(long[np.searchsorted(long, first)]) if len(long) and long[-1] >= first else len(offsets) - 1
+        if following == first:
+            last = first + 1
+        else:
+            last = int(np.searchsorted(offsets, offsets[first] + GROUP_BYTES, side="right")) - 1
+            last = min(max(last, first + 1), following)
+        yield first, last
+        first = last
+
+
 def _batches(offsets: np.ndarray) -> Iterator[np.ndarray]:
     """Words of similar length together."""
     lengths = np.diff(offsets)
@@ -164,8 +182,20 @@ def word_log_probs(column: pa.Array, pieces: Pieces, counts: np.ndarray | None =
     data, offsets = _buffers(column)
     out = np.zeros(len(offsets) - 1)
     expected = None if counts is None else np.zeros(len(pieces.hashes))
-    if not len(out):
-        return out, expected
+    for first, last in _groups(offsets):
+        part, where = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        some = None if counts is None else counts[first:last]
+        if len(part) > LONG_WORD and last == first + 1:
+            out[first] = _long_word(part, pieces, expected, 0.0 if some is None else float(some[0]))
+        else:
+            out[first:last] = _short_words(part, where, pieces, expected, some)
+    return out, expected
+
+
+def _short_words(data: np.ndarray, offsets: np.ndarray, pieces: Pieces, expected: np.ndarray | None,
+                 counts: np.ndarray | None) -> np.ndarray:
+    """Log probabilities of words, side by side; adds to the expected counts."""
+    out = np.zeros(len(offsets) - 1)
     edges = _edges(data, offsets, pieces)
     lengths = np.diff(offsets)
     for batch in _batches(offsets):
@@ -189,7 +219,98 @@ def word_log_probs(column: pa.Array, pieces: Pieces, counts: np.ndarray | None =
                 follow = pieces.log_weight[piece] + beta[i + length, into]
                 beta[i, into] = np.logaddexp(beta[i, into], follow)
                 np.add.at(expected, piece, np.exp(alpha[i, into] + follow - full[into]) * counts[batch[into]])
-    return out, expected
+    return out
+
+
+def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis=axis)
+    safe = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return safe + np.log(np.exp(x - np.expand_dims(safe, axis)).sum(axis=axis))
+
+
+def _windows(data: np.ndarray, first: int, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Log weight and number of the piece that ends at each position of some windows, by its length less one.
+
+    The windows begin at position ``first``. Positions behind the word have an
+    edge of weight 1 from the one before, so the last window is like the others.
+    """
+    many = min(STRIP_WINDOWS, -(-(len(data) - first) // WINDOW))
+    last = min(first + many * WINDOW, len(data))
+    low = max(first - pieces.longest + 1, 0)
+    found = _edges(data[low:last], np.array([0, last - low]), pieces)
+    numbers = np.full((many * WINDOW, pieces.longest), -1, np.int32)
+    for length in range(1, pieces.longest + 1):
+        skip = max(0, length - 1 - (first - low))  # ends before which the piece would begin ahead of ``low``
+        start = first + 1 + skip - length - low
+        numbers[skip : last - first, length - 1] = found[length, start : start + last - first - skip]
+    weights = np.where(numbers >= 0, pieces.log_weight[numbers], -np.inf)
+    weights[last - first :, 0] = 0.0
+    return weights.reshape(many, WINDOW, -1), numbers.reshape(many, WINDOW, -1)
+
+
+def _crossings(weights: np.ndarray) -> np.ndarray:
+    """How each window takes over the last positions before it to its own last ones, as matrices in log space."""
+    many, width, longest = weights.shape
+    # Position j of the window is at longest - 1 + j; the row of a matrix begins with all weight on one earlier position.
+    alpha = np.full((many, longest, longest + width), -np.inf)
+    alpha[:, np.arange(longest), longest - 1 - np.arange(longest)] = 0.0
+    some = np.isfinite(weights).any(axis=0)
+    for j in range(width):
+        used = np.flatnonzero(some[j])  # lengths that a piece of any window has here
+        alpha[:, :, longest + j] = _log_sum(alpha[:, :, longest + j - 1 - used] + weights[:, None, j, used], 2)
+    return alpha[:, :, : -longest - 1 : -1]
+
+
+def _long_word(data: np.ndarray, pieces: Pieces, expected: np.ndarray | None, count: float) -> float:
+    """Log probability of one long word; adds ``count`` times the expected pieces.
+
+    The forward recursion is linear in its last ``longest`` values, so windows of positions are gone through side by
+    side, each as a matrix, and the matrices are then applied one after the other.
+    """
+    longest = pieces.longest
+    before = [np.full(longest, -np.inf)]
+    before[0][0] = 0.0
+    crossings = []
+    for first in range(0, len(data), STRIP_WINDOWS * WINDOW):
+        for crossing in _crossings(_windows(data, first, pieces)[0]):
+            before.append(_log_sum(before[-1][:, None] + crossing, 0))
+            if expected is not None:
+                crossings.append(crossing)
+    full = float(before[-1][0])
+    if expected is None:
+        return full
+    after = [np.full(longest, -np.inf)]
+    after[0][0] = 0.0
+    for crossing in reversed(crossings):
+        after.append(_log_sum(crossing + after[-1], 1))
+    after.reverse()
+    done = 0
+    for first in range(0, len(data), STRIP_WINDOWS * WINDOW):
+        weights, numbers = _windows(data, first, pieces)
+        many = len(weights)
+        alpha = np.full((many, longest + WINDOW), -np.inf)
+        alpha[:, :longest] = np.array(before[done : done + many])[:, ::-1]
+        backwards = weights[:, :, ::-1]
+        for j in range(WINDOW):
+            alpha[:, longest + j] = _log_sum(alpha[:, j : j + longest] + backwards[:, j], 1)
+        # What follows a position: pieces inside the window, and for its last positions those that lead out of it.
+        follow = np.full((many, WINDOW + longest, longest), -np.inf)
+        for length in range(1, longest + 1):
+            follow[:, : WINDOW - length, length - 1] = weights[:, length:, length - 1]
+        beta = np.full((many, WINDOW + longest), -np.inf)
+        leave = np.array(after[done + 1 : done + many + 1])
+        for j in range(WINDOW - 1, -1, -1):
+            here = _log_sum(beta[:, j + 1 : j + 1 + longest] + follow[:, j], 1)
+            out = leave[:, WINDOW - 1 - j] if WINDOW - 1 - j < longest else np.full(many, -np.inf)
+            beta[:, j] = np.logaddexp(here, out)
+        for length in range(1, longest + 1):
+            use = numbers[:, :, length - 1] >= 0
+            start = alpha[:, longest - length : longest - length + WINDOW]
+            chance = np.exp(start[use] + weights[:, :, length - 1][use] + beta[:, :WINDOW][use] - full)
+            np.add.at(expected, numbers[:, :, length - 1][use], chance * count)
+        done += many
+    return full
 
 
 def _word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -221,7 +342,7 @@ def _count_words(docs: DataFrame, text: str, train: Column) -> DataFrame:
                 starts, stops, row = W.spans(data, chunk.offsets, W.NOT_SPACE)
                 if not len(starts):
                     continue
-                h = W.hashes(W.sums(data), starts, stops)
+                h = W.hashes(W.sums(data, starts, stops), starts, stops)
                 _, first, back = np.unique(h, return_index=True, return_inverse=True)
                 counts = np.bincount(back, train_[chunk.first + row], len(first)).astype(np.int64)
                 held.append((h[first], counts, _word_array(data, starts[first], stops[first])))
@@ -295,7 +416,8 @@ def _head(words: DataFrame, most: int) -> tuple[int, tuple[np.ndarray, np.ndarra
         for batch in batches:
             total, offsets = None, None
             for chunk in W.chunks(batch.column("word"), 1 << 62):
-                total, offsets = W.sums(chunk.data), chunk.offsets
+                offsets = chunk.offsets
+                total = W.sums(chunk.data, offsets[:-1], offsets[1:])
             if total is not None:
                 h = W.hashes(total, offsets[:-1], offsets[1:])
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("c"), batch.column("lp")],
@@ -329,7 +451,7 @@ def _by_document(docs: DataFrame, key: str, text: str, train: Column, head) -> D
                 rows_ = len(chunk)
                 data = W.LOWER[chunk.data]
                 starts, stops, row = W.spans(data, chunk.offsets, W.NOT_SPACE)
-                h = W.hashes(W.sums(data), starts, stops)
+                h = W.hashes(W.sums(data, starts, stops), starts, stops)
                 if len(h_head):
                     at = np.minimum(np.searchsorted(h_head, h), len(h_head) - 1)
                     known = h_head[at] == h
@@ -376,13 +498,13 @@ def lattice_likelihood(ws: Workspace, docs: DataFrame, train: Column, key: str =
     words = ws.keep(_count_words(docs, text, train), "words", tokens=F.sum("c"), known=F.count_if(F.col("c") > 0))
     n, v = words.totals["tokens"], words.totals["known"]
     pieces, log_end = _learned(words.df, read_pieces(vocabulary))
-    scored = ws.table(_scored_words(words.df, pieces), "scored-words")
+    scored = ws.keep(_scored_words(words.df, pieces), "scored-words")
     ends = words.df.where("word = ''").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    least, head = _head(scored, head_words)
+    least, head = _head(scored.df, head_words)
     rows = ws.table(_by_document(docs, key, text, train, head), "documents-by-head")
     tail = rows.select("uid", F.explode("rare").alias("x")).select("uid", F.col("x.word").alias("word"), F.col("x.n").alias("n"))
-    rest = scored.where(F.col("c") < least).withColumnRenamed("word", "w")
-    tail = tail.join(rest, F.col("word") == F.col("w")).groupBy(F.col("uid").alias("u")).agg(
+    rest = replace(scored, df=scored.df.where(F.col("c") < least))
+    tail = lookup(tail, rest, ["word"], "inner").groupBy(F.col("uid").alias("u")).agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
         F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs"), F.sum(F.col("n") * F.col("lp")).alias("lps"))
     both = rows.drop("rare").join(tail, F.col("uid") == F.col("u"), "left")

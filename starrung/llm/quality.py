@@ -51,8 +51,8 @@ def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     first[starts] = True
     place = np.cumsum(first) - 1
     outline = kind[first]
-    total = W.sums(outline)
-    return W.hashes(total, place[starts], place[ends - 1] + 1)
+    begin, end = place[starts], place[ends - 1] + 1
+    return W.hashes(W.sums(outline, begin, end), begin, end)
 
 
 def passages(chunk: W.Texts, size: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +78,7 @@ def passages(chunk: W.Texts, size: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.
         out[full, c] = (upto[high] - upto[low]) / span
     size_ = (ends - starts).astype(np.float64)
     mean = np.add.reduceat(size_, first) / many
-    h = W.hashes(W.sums(W.LOWER[chunk.data]), starts, ends)
+    h = W.hashes(W.sums(W.LOWER[chunk.data], starts, ends), starts, ends)
     order = np.lexsort((h, passage))
     ph, pp = h[order], passage[order]
     new = np.concatenate([[True], (ph[1:] != ph[:-1]) | (pp[1:] != pp[:-1])])

@@ -199,7 +199,7 @@ with lines as (
           from documents) d,
          unnest(string_split(d.text, chr(10))) with ordinality as x(line, i)
 ), shared as (
-    select body from lines where length(body) >= 20 group by body having count(distinct site) >= 5
+    select body from lines where length(body) > 0 group by body having count(distinct site) >= 5
 ), docs as (select row_number() over () as r, doc_id from documents)
 select d.doc_id, count(*) as n_lines, count(s.body) as n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) order by l.i) filter (s.body is null), '')) as text_sha256

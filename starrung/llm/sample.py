@@ -43,7 +43,7 @@ def without_copies(sample: pa.Table) -> pa.Table:
         for chunk in W.chunks(pa.array([text], pa.string())):
             data = W.LOWER[chunk.data]
             starts, ends, row = W.spans(data, chunk.offsets, W.NOT_SPACE)
-            got = W.shingles(W.hashes(W.sums(data), starts, ends), row, 1)[0][:SMALLEST].tolist()
+            got = W.shingles(W.hashes(W.sums(data, starts, ends), starts, ends), row, 1)[0][:SMALLEST].tolist()
         common = sum(h in seen for h in got)
         if not got or common < SHARED * len(got) / SMALLEST:
             kept.append(i)

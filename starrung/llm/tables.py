@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starrung.operators.joins import BROADCAST_BYTES
+from starrung.operators import joins
 from starrung.workspace import Kept, Workspace
 
 # The characters that separate words, as a class of Java and of RE2.
@@ -37,7 +37,7 @@ def fold(key: Column, folds: int) -> Column:
 
 def is_small(kept: Kept) -> bool:
     """Whether the measured size allows a broadcast."""
-    return kept.bytes <= BROADCAST_BYTES
+    return joins.is_small(kept)
 
 
 def sized(kept: Kept) -> DataFrame:

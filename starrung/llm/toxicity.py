@@ -27,7 +27,6 @@ MOST_BYTES = 20_000
 # The driver looks at so many bytes of the sample at a time.
 SAMPLE_BYTES = 1 << 19
 SEGMENT = 48
-PLAIN_SEGMENTS = 1000
 ROUNDS = 120
 RIDGE = 0.02
 THRESHOLD = 0.5
@@ -41,14 +40,15 @@ _ENDING = 4
 _FEATURES = 2 + len(_BEGINNINGS)
 
 
-def features_of(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def features_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per kind of feature: the words that have it, and its hash."""
+    total = W.sums(data, starts, ends)
     out = [(np.arange(len(starts)), W.hashes(total, starts, ends))]
     for n in _BEGINNINGS:
         long = np.flatnonzero(ends - starts > n)
         out.append((long, W.mix(W.hashes(total, starts[long], starts[long] + n) + np.uint64(n))))
     long = np.flatnonzero(ends - starts > _ENDING)
-    out.append((long, W.mix(W.hashes(total, ends[long] - _ENDING, ends[long]) + np.uint64(99))))
+    out.append((long, W.mix(W.stretch_hashes(data, ends[long] - _ENDING, _ENDING) + np.uint64(99))))
     return out
 
 
@@ -75,7 +75,7 @@ class Field:
         starts, ends, row = W.spans(data, chunk.offsets, _INSIDE)
         extra, marked = np.zeros(len(starts)), np.zeros(len(starts), bool)
         if len(starts) and len(self.hashes):
-            for which, h in features_of(W.sums(data), starts, ends):
+            for which, h in features_of(data, starts, ends):
                 near = np.flatnonzero(self.maybe[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 at = np.minimum(np.searchsorted(self.hashes, h[near]), len(self.hashes) - 1)
                 same = self.hashes[at] == h[near]
@@ -179,21 +179,21 @@ def marginals(field: Field, row: np.ndarray, marked: np.ndarray, extra: np.ndarr
 
 
 def _words_of(sample: pa.Table):
-    """Words of the sample, some texts at a time: hash sums, starts, ends, and the document of each."""
+    """Words of the sample, some texts at a time: their bytes, starts, ends, and the document of each."""
     done = 0
     for column in sample.column("text").chunks:
         for chunk in W.chunks(column, SAMPLE_BYTES):
             data = W.LOWER[chunk.data]
             starts, ends, row = W.spans(data, chunk.offsets, _INSIDE)
-            yield W.sums(data), starts, ends, row + done + chunk.first
+            yield data, starts, ends, row + done + chunk.first
         done += len(column)
 
 
 def _documents_with(sample: pa.Table, label: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All features of one kind in order, with the toxic and the other documents that have each."""
     known, toxic, clean = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-    for total, starts, ends, row in _words_of(sample):
-        which, h = features_of(total, starts, ends)[kind]
+    for data, starts, ends, row in _words_of(sample):
+        which, h = features_of(data, starts, ends)[kind]
         order = np.lexsort((row[which], h))
         h, d = h[order], row[which][order]
         new = np.ones(len(h), bool)
@@ -249,8 +249,8 @@ def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
     if not len(chosen):
         return empty
     rows, word_of, feature, words = [], [], [], 0
-    for total, starts, ends, row in _words_of(sample):
-        for which, h in features_of(total, starts, ends):
+    for data, starts, ends, row in _words_of(sample):
+        for which, h in features_of(data, starts, ends):
             at = np.minimum(np.searchsorted(chosen, h), len(chosen) - 1)
             has = chosen[at] == h
             word_of.append(which[has] + words)
@@ -263,22 +263,26 @@ def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
     marked[word_of] = True
     signed[word_of[sure[feature]]] = True
     tag = signed & (label[row] == 1)
-    # Segments of whole documents' words; those without any marked word are all alike, some of them will do.
+    # Segments of whole documents' words. Of those without any marked word the ones of a length are all alike: one is
+    # kept, which counts as often as they occur.
     place = np.arange(len(row)) - np.searchsorted(row, row)
     segment = np.cumsum((place % SEGMENT == 0).astype(np.int64)) - 1
     n = int(segment[-1]) + 1
     with_mark = np.bincount(segment, marked, n) > 0
     used = with_mark.copy()
-    used[np.flatnonzero(~with_mark)[:PLAIN_SEGMENTS]] = True
+    size, weight = np.bincount(segment, minlength=n), np.ones(n)
+    plain = np.flatnonzero(~with_mark)
+    _, first, many = np.unique(size[plain], return_index=True, return_counts=True)
+    used[plain[first]], weight[plain[first]] = True, many
     number = np.cumsum(used) - 1
-    size = np.bincount(segment, minlength=n)[used]
+    size, weight = size[used], weight[used]
     inside = used[segment]
     y = np.zeros((int(used.sum()), SEGMENT), np.int64)
     y[number[segment[inside]], place[inside] % SEGMENT] = tag[inside]
     cell = np.full(len(row), -1, np.int64)
     cell[inside] = number[segment[inside]] * SEGMENT + place[inside] % SEGMENT
     feature, cells = feature[cell[word_of] >= 0], cell[word_of][cell[word_of] >= 0]
-    field = _maximise(chosen, feature, cells, y, size, rounds)
+    field = _maximise(chosen, feature, cells, y, size, weight, rounds)
     extra = np.bincount(all_words, field.weights[all_features], len(row))
     counts = np.bincount(row, minlength=len(label))
     at = np.flatnonzero(marked)
@@ -286,15 +290,16 @@ def fit_field(sample: pa.Table, rounds: int = ROUNDS) -> Field:
     return replace(field, document=_fit_documents(_document_features(row, at, p, counts), label))
 
 
-def _maximise(chosen, feature, cells, y, size, rounds) -> Field:
-    """Penalised likelihood of the tags of all segments, by gradient steps of adapted length."""
+def _maximise(chosen, feature, cells, y, size, weight, rounds) -> Field:
+    """Penalised likelihood of the tags of all segments, which count by ``weight``, by gradient steps of adapted length."""
     n, width = y.shape
     valid = np.arange(width) < size[:, None]
+    counted = valid * weight[:, None]
     weights, bias, change = np.zeros(len(chosen)), -3.0, np.zeros((2, 2))
     previous = np.concatenate([np.zeros((n, 1), np.int64), y[:, :-1]], axis=1)
-    seen_change = np.array([[np.sum(valid & (previous == a) & (y == b)) for b in (0, 1)] for a in (0, 1)], float)
-    seen_weights = np.bincount(feature, y.ravel()[cells], len(chosen))
-    seen_bias = float((y * valid).sum())
+    seen_change = np.array([[np.sum(counted * ((previous == a) & (y == b))) for b in (0, 1)] for a in (0, 1)], float)
+    seen_weights = np.bincount(feature, (y * counted).ravel()[cells], len(chosen))
+    seen_bias = float((y * counted).sum())
     theta = np.concatenate([weights, [bias], change.ravel()])
     step, last = np.full(len(theta), 0.1), np.zeros(len(theta))
     for _ in range(rounds):
@@ -313,12 +318,12 @@ def _maximise(chosen, feature, cells, y, size, rounds) -> Field:
         back, p = np.ones((n, 2)), np.zeros((n, width))
         for t in range(width - 1, -1, -1):
             both = forward[t] * back
-            p[:, t] = both[:, 1] / both.sum(axis=1) * valid[:, t]
+            p[:, t] = both[:, 1] / both.sum(axis=1) * counted[:, t]
             before = forward[t - 1] if t else np.tile([1.0, 0.0], (n, 1))
             here = back * np.stack([np.ones(n), score[:, t]], axis=1)
             joint = before[:, :, None] * a[None] * here[:, None, :]
             joint /= joint.sum(axis=(1, 2), keepdims=True)
-            pairs += (joint * valid[:, t, None, None]).sum(axis=0)
+            pairs += (joint * counted[:, t, None, None]).sum(axis=0)
             new = here @ a.T
             new /= new.sum(axis=1, keepdims=True)
             back = np.where(valid[:, t, None], new, back)

@@ -19,9 +19,9 @@ CHUNK_BYTES = 4 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers = {"p": np.ones(1, np.uint64), "i": np.ones(1, np.uint64)}
+# Bytes that are hashed at a time.
+_STRETCH = 1 << 18
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def class_of(outside: bytes) -> np.ndarray:
@@ -77,15 +77,6 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
-    have = _powers[kind]
-    if len(have) < n:
-        have = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
-        have[0] = 1
-        _powers[kind] = have = np.cumprod(have, dtype=np.uint64)
-    return have
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit numbers, one to one."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -93,23 +84,78 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def sums(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which ``hashes`` takes the hash of any stretch."""
+# A factor for each byte value and one for each place in a word, as if drawn at random: the sum of their products tells
+# words apart whatever their letters are, unlike a polynomial, in which long regular words can meet.
+_LETTERS = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _GOLDEN) | np.uint64(1)
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
+_places = {"p": np.zeros(0, np.uint64)}
+
+
+def _factors(n: int) -> np.ndarray:
+    """The factors of the first ``n`` places of a word."""
+    if len(_places["p"]) < n:
+        _places["p"] = mix((np.arange(max(n, 256), dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D)) * _GOLDEN)
+    return _places["p"]
+
+
+def _finished(total: np.ndarray, length) -> np.ndarray:
+    return mix(total + np.asarray(length).astype(np.uint64) * _LENGTH)
+
+
+def sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Running sums from which ``hashes`` takes those of the words, and of any beginning of a word.
+
+    Words do not overlap and are in order. Places are counted from the start of each word.
+    """
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("p", _BASE, len(data) + 1)[: len(data)], out=total[1:])
+    if not len(starts):
+        return total
+    longest = int((ends - starts).max())
+    factors = _factors(longest)
+    start = 0
+    for low in range(0, len(data), _STRETCH):
+        high = min(low + _STRETCH, len(data))
+        place = np.zeros(high - low, np.int64)
+        begin = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high)]
+        place[begin - low] = begin
+        place[0] = max(place[0], start)
+        np.maximum.accumulate(place, out=place)
+        start = int(place[-1])
+        np.subtract(np.arange(low, high), place, out=place)
+        # Bytes between words have places beyond the longest; their products cancel out.
+        np.minimum(place, longest - 1, out=place)
+        np.cumsum(_LETTERS[data[low:high]] * factors[place], out=total[low + 1 : high + 1])
+        total[low + 1 : high + 1] += total[low]
     return total
 
 
 def hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each stretch of bytes: a polynomial over them, mixed; position plays no part."""
-    return mix((total[ends] - total[starts]) * _power("i", _INVERSE, len(total))[starts])
+    """64-bit hash of each word, or of the beginning of a word that ends at ``ends``."""
+    return _finished(total[ends] - total[starts], ends - starts)
+
+
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The same hash for stretches of equal length that may begin anywhere."""
+    factors, total = _factors(length), np.zeros(len(starts), np.uint64)
+    for j in range(length):
+        total += _LETTERS[data[starts + j]] * factors[j]
+    return _finished(total, length)
+
+
+def growing_hashes(data: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For lengths from 1 on, the hash of the stretch of that length at every place where it fits."""
+    letters, factors, total = _LETTERS[data], _factors(longest), np.zeros(len(data), np.uint64)
+    for length in range(1, min(longest, len(data)) + 1):
+        total = total[: len(data) - length + 1] + letters[length - 1 :] * factors[length - 1]
+        yield length, _finished(total, length)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
     """The same hash for words given one by one."""
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-    return hashes(sums(data), ends - np.array([len(w) for w in words], np.int64), ends)
+    starts = ends - np.array([len(w) for w in words], np.int64)
+    return hashes(sums(data, starts, ends), starts, ends)
 
 
 _ORDER = np.array([0x8DA6B343, 0xD8163841, 0xCB1AB31F, 0x165667B1, 0x27D4EB2F], np.uint64) * np.uint64(

@@ -30,7 +30,7 @@ def test_hashes_and_spans_are_those_of_words():
         got = []
         for chunk in W.chunks(pa.array(texts), limit):
             starts, ends, row = W.spans(chunk.data, chunk.offsets, W.NOT_SPACE)
-            got += [(int(r) + chunk.first, int(h)) for r, h in zip(row, W.hashes(W.sums(chunk.data), starts, ends))]
+            got += [(int(r) + chunk.first, int(h)) for r, h in zip(row, W.hashes(W.sums(chunk.data, starts, ends), starts, ends))]
         want = [(i, int(W.hash_words([w.encode()])[0])) for i, t in enumerate(texts) for w in (t or "").split()]
         assert got == want
 

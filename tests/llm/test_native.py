@@ -1,6 +1,7 @@
 """Mixing, personal data and shared lines on small inputs; their queries are compared with SQL in test_llm_queries."""
 
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -114,8 +115,31 @@ def test_shared_lines(spark, ws):
         want = []
         for key, text, _ in rows:
             lines = (text or "").split("\n")
-            kept = [x for x in lines if len(x.strip(" \t")) < 20 or len(sites[x.strip(" \t")]) < least]
+            kept = [x for x in lines if not x.strip(" \t") or len(sites[x.strip(" \t")]) < least]
             want.append((key, "\n".join(kept), len(lines), len(lines) - len(kept)))
         got = [tuple(r) for r in remove_shared_lines(ws, documents(spark, rows), min_sites=least).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert remove_shared_lines(ws, documents(spark, rows).limit(0)).collect() == []
+
+
+def test_short_lines_and_a_text_of_very_many_shared_lines(spark, ws):
+    many = "\n".join(f"l{i % 500}" if i % 3 else f"own {i}" for i in range(100_000))
+    rows = [(1, many, "a"), (2, many, "b"), (3, "l1\nx\nl2", "c"), (4, "", "c"), (5, "\n \n\t", "d"), (6, " \n ", "e"), (6, "x", "e")]
+    began = time.monotonic()
+    got = {(r.doc_id, r.n_lines): r for r in remove_shared_lines(ws, documents(spark, rows), min_sites=3).collect()}
+    assert time.monotonic() - began < 60
+    assert got[3, 3].text == "x" and got[4, 1].text == "" and got[5, 3].text == "\n \n\t" and got[6, 2].text == " \n "
+    gone = {x for x in many.split("\n") if x in ("l1", "l2")}
+    assert got[1, 100_000].text == got[2, 100_000].text == "\n".join(x for x in many.split("\n") if x not in gone)
+
+
+@pytest.mark.parametrize("dense", ["12 ab ", "1.2.3.4 ", "a@b.c "])
+def test_personal_data_takes_a_megabyte_of_matches(spark, dense):
+    text = dense * (1_000_000 // len(dense)) + "4111 1111 1111 1111"
+    began = time.monotonic()
+    found = find_personal_data(documents(spark, [(1, text)])).first().found
+    assert time.monotonic() - began < 20
+    assert all(text[s.start : s.end] == s.value for s in found)
+    assert [s.start for s in found if s.kind == "card"] == ([len(text) - 19] if "ab" in dense or "@" in dense else [])
+    if "ab" not in dense:
+        assert len(found) >= 100_000
