@@ -4,8 +4,10 @@ A shard is a few megabytes of whole documents of one partition. Its symbols are
 the words of the benchmark; any other word can be part of no phrase and only
 separates, and so does a run of benchmark words shorter than every phrase.
 Nothing is shuffled: a document is searched and its spans are merged where it
-was read. The benchmark goes to all tasks in parts of a fixed size; a larger
-benchmark means more passes over the documents.
+was read. The words of the benchmark are hashed by tasks; what every task gets is
+arrays of numbers, with each phrase once however many items have it. A shard's
+index is made once and searched for all phrases of up to ``PART_BYTES`` of
+benchmark; a larger benchmark means more passes over the documents.
 """
 
 from __future__ import annotations
@@ -23,7 +25,10 @@ from starrung.llm.fm_index import FMIndex
 from starrung.workspace import Workspace
 
 WINDOW = 10
-PART_BYTES = 16 << 20
+PART_BYTES = 64 << 20
+# Words of a piece of a very long item, and phrases that are searched at once.
+ITEM_WORDS = 1 << 20
+PATTERNS = 1 << 16
 # Everything in ASCII that is neither letter nor digit; capitals are lower-cased before.
 _INSIDE = W.class_of(bytes(b for b in range(128) if not (48 <= b <= 57 or 97 <= b <= 122)))
 _TERMINAL_AND_GAP = 2
@@ -32,28 +37,31 @@ FOUND = "n_words long, n_hit long, spans array<struct<first:long,last:long,start
 
 
 class Phrases:
-    """The windows of some benchmark items as rows of word numbers, and the items each comes from."""
+    """The windows of some benchmark items: words as numbers in one sequence, where each window begins, and its items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        of: dict[tuple, set[str]] = defaultdict(set)
-        for name, text in items:
-            for chunk in W.chunks(pa.array([text], pa.string())):
-                data = W.LOWER[chunk.data]
-                starts, ends, _ = W.spans(data, chunk.offsets, _INSIDE)
-                seq = W.hashes(W.sums(data, starts, ends), starts, ends).tolist()
-                for i in range(max(1, len(seq) - window + 1) if seq else 0):
-                    of[tuple(seq[i : i + window])].add(name)
-        self.words = np.unique(np.array([w for p in of for w in p], np.uint64))
+    def __init__(self, names: list[str], hashes: np.ndarray, counts: np.ndarray, window: int = WINDOW):
+        self.names, item = np.unique(np.array(names, object), return_inverse=True) if names else (np.zeros(0, object), [])
+        self.words = np.unique(hashes)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.words & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        by_length = defaultdict(list)
-        for phrase in of:
-            by_length[len(phrase)].append(phrase)
+        self.sequence = (np.searchsorted(self.words, hashes) + _TERMINAL_AND_GAP).astype(np.int32)
+        first = np.cumsum(counts) - counts
         self.groups = []
-        for length, rows in sorted(by_length.items()):
-            numbers = np.searchsorted(self.words, np.array(rows, np.uint64)) + _TERMINAL_AND_GAP
-            self.groups.append((length, numbers.astype(np.int64), [sorted(of[r]) for r in rows]))
-        self.shortest = min(by_length, default=window)
+        lengths = np.minimum(counts, window)
+        for length in np.unique(lengths[lengths > 0]).tolist():
+            of = np.flatnonzero(lengths == length)
+            many = counts[of] - length + 1
+            start = np.repeat(first[of] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            owner = np.repeat(np.asarray(item, np.int32)[of], many)
+            # Equal windows are one; those of the same item once.
+            key = W.run_hashes(hashes, length)[start]
+            order = np.lexsort((owner, key))
+            key, owner, start = key[order], owner[order], start[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            once = new | np.concatenate([[True], owner[1:] != owner[:-1]])
+            begin = np.flatnonzero(new[once])
+            self.groups.append((length, start[new], np.append(begin, once.sum()), owner[once]))
+        self.shortest = min((g[0] for g in self.groups), default=window)
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         """Symbol of each word, 0 for words of no phrase."""
@@ -64,6 +72,21 @@ class Phrases:
         out[near[same]] = at[same] + _TERMINAL_AND_GAP
         return out
 
+    def patterns(self, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Length, numbers and words of the windows all of whose words are in ``text``, some at a time."""
+        there = np.zeros(len(self.words) + _TERMINAL_AND_GAP, bool)
+        there[text[text >= _TERMINAL_AND_GAP]] = True
+        upto = np.concatenate([[0], np.cumsum(there[self.sequence], dtype=np.int32)])
+        for length, start, _, _ in self.groups:
+            which = np.flatnonzero(upto[start + length] - upto[start] == length)
+            for low in range(0, len(which), PATTERNS):
+                part = which[low : low + PATTERNS]
+                yield length, part, self.sequence[start[part][:, None] + np.arange(length)].astype(np.int64)
+
+    def items_of(self, length: int, which: int) -> list[str]:
+        _, _, begin, owner = next(g for g in self.groups if g[0] == length)
+        return self.names[owner[begin[which] : begin[which + 1]]].tolist()
+
 
 def _runs(symbol: np.ndarray, row: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The shard's sequence without what can't match: symbols with a gap behind each run, and their word positions."""
@@ -100,7 +123,7 @@ def _search(chunk: W.Texts, phrases: Phrases) -> Iterator[tuple[int, int, list,
         if len(text):
             index = FMIndex(text)
             cover = np.zeros(len(starts) + 1, np.int64)
-            for length, patterns, names in phrases.groups:
+            for length, which, patterns in phrases.patterns(text):
                 low, high = index.search(patterns)
                 found = np.flatnonzero(high > low)
                 many = (high - low)[found]
@@ -110,9 +133,9 @@ def _search(chunk: W.Texts, phrases: Phrases) -> Iterator[tuple[int, int, list,
                 at = place[index.locate(ranks)]
                 np.add.at(cover, at, 1)
                 np.add.at(cover, at + length, -1)
-                pairs = np.unique(np.stack([row[at], np.repeat(found, many)]), axis=1)
+                pairs = np.unique(np.stack([row[at], np.repeat(which[found], many)]), axis=1)
                 for r, p in pairs.T.tolist():
-                    items[r].update(names[p])
+                    items[r].update(phrases.items_of(length, p))
             hit = np.cumsum(cover[:-1]) > 0
             hits = np.bincount(row[hit], minlength=rows)
             first = np.concatenate([[0], np.cumsum(counts)])
@@ -130,21 +153,47 @@ def _search(chunk: W.Texts, phrases: Phrases) -> Iterator[tuple[int, int, list,
         yield int(counts[r]), int(hits[r]), spans.get(r, []), sorted(items.get(r, ()))
 
 
-def _parts(items: DataFrame, name: str, text: str, size: int) -> Iterator[list[tuple[str, str]]]:
-    part, used = [], 0
-    rows = items.select(F.coalesce(F.col(name).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
-    for row in rows.toLocalIterator():
-        part.append((row[0], row[1]))
-        used += len(row[1])
-        if used >= size:
-            yield part
-            part, used = [], 0
-    if part:
-        yield part
+def _item_words(items: DataFrame, name: str, text: str, window: int) -> DataFrame:
+    """``item, words, bytes``: the hashes of the words of every item; a very long one in pieces that share window - 1 words."""
+    rows = items.select(F.coalesce(F.col(name).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
+
+    def words(batches):
+        for batch in batches:
+            for chunk in W.chunks(batch.column("text")):
+                data = W.LOWER[chunk.data]
+                starts, ends, row = W.spans(data, chunk.offsets, _INSIDE)
+                h = W.hashes(W.sums(data, starts, ends), starts, ends).view(np.int64)
+                first = np.searchsorted(row, np.arange(len(chunk) + 1))
+                names, pieces = [], []
+                for r, item in enumerate(batch.column("item").slice(chunk.first, len(chunk)).to_pylist()):
+                    many = int(first[r + 1] - first[r])
+                    for at in range(0, max(many - window + 1, 1) if many else 0, ITEM_WORDS):
+                        names.append(item)
+                        pieces.append(h[first[r] + at : min(first[r] + at + ITEM_WORDS + window - 1, first[r + 1])])
+                if names:
+                    offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces)))],
+                        names=["item", "words"])
+
+    return rows.mapInArrow(words, "item string, words array<long>").distinct()
+
+
+def _parts(ws: Workspace, items: DataFrame, name: str, text: str, window: int, size: int) -> Iterator[Phrases]:
+    """The phrases of the benchmark, at most about ``size`` bytes of it at a time, counted as six to a word."""
+    every = ws.keep(_item_words(items, name, text, window), "benchmark-words", words=F.sum(F.size("words")))
+    parts = max(1, -(-6 * every.totals["words"] // size))
+    for part in range(parts):
+        mine = every.df if parts == 1 else every.df.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part)
+        got = mine.toArrow()
+        words = got.column("words").combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int64()))
+        counts = np.diff(words.offsets.to_numpy()).astype(np.int64)
+        if len(counts) or parts == 1:
+            yield Phrases(got.column("item").to_pylist(), words.values.to_numpy().view(np.uint64), counts, window)
 
 
-def _pass(docs: DataFrame, key: str, text: str, part: list[tuple[str, str]], window: int) -> DataFrame:
-    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(part, window))
+def _pass(docs: DataFrame, key: str, text: str, part: Phrases) -> DataFrame:
+    phrases = docs.sparkSession.sparkContext.broadcast(part)
     rows = docs.select(F.col(key).alias("row"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["row"]
     span = pa.list_(pa.struct([(f, pa.int64()) for f in ("first", "last", "start", "end")]))
@@ -193,15 +242,15 @@ def find_benchmark(ws: Workspace, docs: DataFrame, items: DataFrame, key: str =
     Words are told apart by a 64-bit hash. Other columns are ignored.
     With a benchmark of several parts, rows equal in key and text are searched once.
     """
-    parts = _parts(items, item, item_text, part_bytes)
-    first, second = next(parts, []), next(parts, None)
+    parts = _parts(ws, items, item, item_text, window, part_bytes)
+    first, second = next(parts), next(parts, None)
     if second is None:
-        return _pass(docs, key, text, first, window)
+        return _pass(docs, key, text, first)
     name = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("a"),
                     F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("b"))
     with_id = docs.select(name.alias("row"), F.col(text).alias("text")).dropDuplicates(["row"])
-    passes = [ws.table(_pass(with_id, "row", "text", part, window), "benchmark-pass") for part in (first, second)]
-    passes += [ws.table(_pass(with_id, "row", "text", part, window), "benchmark-pass") for part in parts]
+    passes = [ws.table(_pass(with_id, "row", "text", part), "benchmark-pass") for part in (first, second)]
+    passes += [ws.table(_pass(with_id, "row", "text", part), "benchmark-pass") for part in parts]
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)

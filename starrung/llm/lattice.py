@@ -240,7 +240,7 @@ def _windows(data: np.ndarray, first: int, pieces: Pieces) -> tuple[np.ndarray,
     low = max(first - pieces.longest + 1, 0)
     found = _edges(data[low:last], np.array([0, last - low]), pieces)
     numbers = np.full((many * WINDOW, pieces.longest), -1, np.int32)
-    for length in range(1, pieces.longest + 1):
+    for length in range(1, min(pieces.longest, last - low) + 1):
         skip = max(0, length - 1 - (first - low))  # ends before which the piece would begin ahead of ``low``
         start = first + 1 + skip - length - low
         numbers[skip : last - first, length - 1] = found[length, start : start + last - first - skip]

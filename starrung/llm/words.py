@@ -150,6 +150,14 @@ def growing_hashes(data: np.ndarray, longest: int) -> Iterator[tuple[int, np.nda
         yield length, _finished(total, length)
 
 
+def run_hashes(h: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every ``length`` consecutive words, from the words' hashes."""
+    out = np.zeros(max(len(h) - length + 1, 0), np.uint64)
+    for j, factor in enumerate(_factors(length)[:length]):
+        out += h[j : j + len(out)] * factor
+    return mix(out)
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
     """The same hash for words given one by one."""
     data = np.frombuffer(b"".join(words), np.uint8)

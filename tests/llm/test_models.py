@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +204,76 @@ def test_lattice_sums_all_segmentations(monkeypatch):
         assert {names[o]: s for o, s in zip(pieces.order, seen)} == pytest.approx(expected, abs=1e-9)
 
 
+def test_long_words_by_windows_are_those_of_one_recursion(monkeypatch):
+    draw = random.Random(9)
+    names = ["the", "ing", "a", "b", "é", "日", "est", "0"]
+    words = ["".join(draw.choice(names) for _ in range(n)) for n in (1, 2, 10, 70, 200, 500)] + ["the"] * 3
+    counts = np.arange(1.0, len(words) + 1)
+    for pieces in (lattice.read_pieces(), small_pieces([("▁" + w).encode() for w in words[:5] + ["日0é"]])[0]):
+        monkeypatch.setattr(lattice, "LONG_WORD", 1 << 30)
+        want, seen = lattice.word_log_probs(pa.array(words), pieces, counts)
+        for window, strip in ((64, 1), (64, 3), (100, 2)):
+            monkeypatch.setattr(lattice, "LONG_WORD", 20)
+            monkeypatch.setattr(lattice, "WINDOW", window)
+            monkeypatch.setattr(lattice, "STRIP_WINDOWS", strip)
+            got, again = lattice.word_log_probs(pa.array(words), pieces, counts)
+            assert got == pytest.approx(want, rel=1e-12) and again == pytest.approx(seen, abs=1e-7)
+            assert lattice.word_log_probs(pa.array(words), pieces)[0] == pytest.approx(want, rel=1e-12)
+
+
+def test_a_word_of_a_megabyte_takes_seconds():
+    draw = random.Random(2)
+    began = time.monotonic()
+    got, _ = lattice.word_log_probs(pa.array(["".join(draw.choice("abcdefghijklmnop0123=+") for _ in range(1 << 20))]), lattice.read_pieces())
+    assert math.isfinite(got[0]) and time.monotonic() - began < 30
+
+
+def test_slices_of_a_text_make_no_difference(monkeypatch):
+    texts = ["one two, three" * 20, "", "12 34", "é" * 50, " x", "日本語 テキスト. " * 5, "y "]
+    want = language.bundle(texts, 256)
+    for size in (1, 2, 3, 16):
+        monkeypatch.setattr(language, "SLICE", size)
+        assert (language.bundle_whole(texts, 256) == want).all()
+
+
+def test_language_like_direct_cosines(spark):
+    """The prediction by sums of bound vectors, letter by letter."""
+    draw = random.Random(4)
+    rows = [(i, prose(draw, SYLLABLES[x], draw.randrange(1, 12)), x) for i, x in enumerate(draw.choice(list(SYLLABLES)) for _ in range(40))]
+
+    def vector(text):
+        padded = " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+        v = [language.letter_vector(0 if c == " " else ord(c)).astype(float) for c in padded]
+        return sum(np.roll(a, 2) * np.roll(b, 1) * c for a, b, c in zip(v, v[1:], v[2:]))
+
+    def unit(v):
+        return v / np.linalg.norm(v)
+
+    names = sorted(SYLLABLES)
+    prototypes = [unit(sum(unit(vector(t)) for k, t, x in rows if x == name and fold_of(k, 3) != 1)) for name in names]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify_language(docs, fold(F.col("doc_id"), 3) != 1).collect()}
+    for k, t, _ in rows:
+        near = [float(unit(vector(t)) @ p) for p in prototypes]
+        assert got[k].lang_pred == names[int(np.argmax(near))] and got[k].score == pytest.approx(max(0, max(near)), abs=1e-4)
+
+
+def test_plain_segments_count_as_often_as_they_occur():
+    """One segment with a weight is the same as its copies."""
+    rng = np.random.default_rng(3)
+    y = (rng.random((6, toxicity.SEGMENT)) < 0.1).astype(np.int64)
+    y[3:] = 0
+    size = np.array([toxicity.SEGMENT, 10, 30, 48, 48, 48])
+    y *= np.arange(toxicity.SEGMENT) < size[:, None]
+    cells = np.flatnonzero(y.ravel())
+    feature = np.zeros(len(cells), np.int64)
+    chosen = np.array([1], np.uint64)
+    many = toxicity._maximise(chosen, feature, cells, y, size, np.ones(6), 40)
+    few = toxicity._maximise(chosen, feature, cells, y[:4], size[:4], np.array([1.0, 1, 1, 3]), 40)
+    assert few.weights == pytest.approx(many.weights) and few.bias == pytest.approx(many.bias)
+    assert few.change == pytest.approx(many.change)
+
+
 def test_every_word_has_a_segmentation_and_long_words_do_not_underflow():
     pieces = lattice.read_pieces()
     assert np.exp(pieces.log_weight).sum() == pytest.approx(1)
