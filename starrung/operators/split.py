@@ -3,7 +3,8 @@
 Rows are ordered by the md5 of a seed and a row key. A stratum's share is found
 by counting hash prefixes, which Spark pre-aggregates before the shuffle. One
 more reading then writes both sides; only the few rows that share the cut-off
-prefix are looked at one by one.
+prefix are looked at one by one. Where the number of strata is bounded, both
+readings are one query, and so are finding and using the cut-off hashes.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starrung.operators.binning import assign_bins, quantile_breaks
 from starrung.operators.copies import expand_copies
-from starrung.operators.joins import heavy_keys, lookup
+from starrung.operators.joins import heavy_keys, is_small, lookup
 from starrung.operators.ordering import with_running_total
 from starrung.workspace import Kept, Workspace
 
@@ -28,6 +29,10 @@ MORE_DIGITS = 4
 _REST, _HELD, _NEAR = 0, 1, 2
 # Hashes of one stratum that one task may rank.
 RANKED_HASHES = 200_000
+# Strata whose cut-offs are broadcast without measuring them, and the bytes one of them takes at most.
+STATED_STRATA, STRATUM_BYTES = 1024, 256
+# Four quartiles and NULL.
+QUARTILE_STRATA = 5
 
 
 def hash_order(seed: int, *key: str) -> Column:
@@ -36,7 +41,7 @@ def hash_order(seed: int, *key: str) -> Column:
 
 
 def quartile_stratum(ws: Workspace, df: DataFrame, column: str) -> Column:
-    """Stratum number of a numeric column: its quartile, with equal quartiles merged."""
+    """Stratum number of a numeric column: its quartile, with equal quartiles merged; ``QUARTILE_STRATA`` at most."""
     breaks = quantile_breaks(ws, df.select(column), F.col(column), 4, dedupe=True)
     return assign_bins(F.col(column), breaks)
 
@@ -49,16 +54,22 @@ def stratified_split(
     key: Sequence[str],
     seed: int,
     ranked_hashes: int = RANKED_HASHES,
+    strata: int | None = None,
 ) -> DataFrame:
     """``df`` with ``held_out``: true for exactly ``ceil(n * fraction)`` rows of every stratum.
 
     The result is written, both sides apart, so that a filter on ``held_out``
-    reads one side only.
+    reads one side only. ``strata`` is a bound of the number of strata of a
+    numeric column, NULL included, if one is known; it saves a step.
     """
     columns = df.columns
     rows = df.withColumns({"__stratum": stratum, "__hash": hash_order(seed, *key)})
     prefix = F.substring("__hash", 1, FIRST_DIGITS)
-    bucket = _first_bucket(ws, rows.groupBy("__stratum", prefix.alias("__prefix")), fraction)
+    picked = _first_bucket(rows.groupBy("__stratum", prefix.alias("__prefix")), fraction)
+    if strata is not None and strata <= STATED_STRATA:
+        bucket = Kept(picked, strata, strata * STRATUM_BYTES, frozenset(["__stratum"]))
+    else:
+        bucket = ws.keep(picked, "bucket")
     side = (
         F.when(F.col("__prefix").isNull() | (prefix > F.col("__prefix")), _REST)
         .when(prefix < F.col("__prefix"), _HELD)
@@ -66,18 +77,19 @@ def stratified_split(
     )
     placed = lookup(rows, bucket, ["__stratum"]).withColumn("__side", side)
     only_near = [F.when(F.col("__side") == _NEAR, F.col(c)).alias(c) for c in ("__stratum", "__need", "__hash")]
-    sides = ws.table(placed.select(*columns, *only_near, "__side"), "sides", ("__side",))
+    sides, seen = ws.counted(placed.select(*columns, *only_near, "__side"), "sides", ("__side",),
+                             near=F.count_if(F.col("__side") == _NEAR))
     clear = sides.where(F.col("__side") != _NEAR).select(*columns, (F.col("__side") == _HELD).alias("held_out"))
-    near = _split_near(ws, sides.where(F.col("__side") == _NEAR), columns, bucket.totals["near"], ranked_hashes)
-    return clear.unionByName(ws.table(near, "near-sides", ("held_out",)))
+    near = sides.where(F.col("__side") == _NEAR)
+    return clear.unionByName(_split_near(ws, near, columns, bucket, seen["near"] or 0, ranked_hashes))
 
 
-def _first_bucket(ws: Workspace, by_prefix: GroupedData, fraction: float) -> Kept:
+def _first_bucket(by_prefix: GroupedData, fraction: float) -> DataFrame:
     """Per stratum the hash prefix at which its share ends, and the rows it takes there."""
     counted = by_prefix.agg(F.count(F.lit(1)).alias("__n"))
     in_stratum = F.sum("__n").over(Window.partitionBy("__stratum"))
     counted = counted.withColumn("__need", F.ceil(in_stratum * F.lit(fraction)))
-    return ws.keep(_pick(counted, "__prefix"), "bucket", near=F.coalesce(F.sum("__n"), F.lit(0)))
+    return _pick(counted, "__prefix")
 
 
 def _pick(buckets: DataFrame, bucket: str) -> DataFrame:
@@ -92,22 +104,26 @@ def _pick(buckets: DataFrame, bucket: str) -> DataFrame:
 
 
 def _split_near(
-    ws: Workspace, near: DataFrame, columns: Sequence[str], rows: int, ranked_hashes: int
+    ws: Workspace, near: DataFrame, columns: Sequence[str], bucket: Kept, rows: int, ranked_hashes: int
 ) -> DataFrame:
-    """``held_out`` for the ``rows`` rows that share the cut-off prefix of their stratum."""
-    cut = _cut_offs(ws, near, rows, ranked_hashes)
+    """``held_out`` for the ``rows`` rows that share the cut-off prefix of their stratum, written."""
+    cut = _cut_offs(ws, near, bucket, rows, ranked_hashes)
     order, limit = F.col("__hash"), F.col("__limit")
-    flagged = lookup(near, cut, ["__stratum"]).withColumn(
-        "held_out", F.when(order != limit, order < limit).when(F.col("__take") == F.col("__n"), True)
-    )
-    if not cut.totals["torn"]:
-        return flagged.select(*columns, "held_out")
+    held = F.when(order != limit, order < limit).when(F.col("__take") == F.col("__n"), True)
+    flagged = lookup(near, cut, ["__stratum"]).select(*columns, "__stratum", "__take", held.alias("held_out"))
+    flagged, seen = ws.counted(flagged, "near-sides", ("held_out",), torn=F.count_if(F.col("held_out").isNull()))
     whole = flagged.where(F.col("held_out").isNotNull()).select(*columns, "held_out")
-    return whole.unionByName(_divide_ties(ws, flagged.where(F.col("held_out").isNull()), columns, cut.totals["torn"]))
+    if not seen["torn"]:
+        return whole
+    tied = _divide_ties(ws, flagged.where(F.col("held_out").isNull()).drop("held_out"), columns, seen["torn"])
+    return whole.unionByName(ws.table(tied, "tied-sides", ("held_out",)))
+
 
+def _cut_offs(ws: Workspace, near: DataFrame, bucket: Kept, rows: int, ranked_hashes: int) -> Kept:
+    """Per stratum the last hash taken, with the number of rows that have it and that are taken.
 
-def _cut_offs(ws: Workspace, near: DataFrame, rows: int, ranked_hashes: int) -> Kept:
-    """Per stratum the last hash taken, with the number of rows that have it and that are taken."""
+    There is at most one row for each row of ``bucket``, so its size is known beforehand.
+    """
     # Equal hashes collapse here, so a key with many copies is one row.
     hashes = near.groupBy("__stratum", "__need", "__hash").agg(F.count(F.lit(1)).alias("__n"))
     if rows > ranked_hashes:
@@ -120,7 +136,9 @@ def _cut_offs(ws: Workspace, near: DataFrame, rows: int, ranked_hashes: int) ->
     found = _pick(hashes, "__hash").select(
         "__stratum", F.col("__hash").alias("__limit"), F.col("__need").alias("__take"), "__n"
     )
-    return ws.keep(found, "cut", torn=F.coalesce(F.sum(F.when(F.col("__take") < F.col("__n"), F.col("__n"))), F.lit(0)))
+    size = bucket.bytes + bucket.rows * STRATUM_BYTES
+    cut = Kept(found, bucket.rows, size, frozenset(["__stratum"]))
+    return cut if is_small(cut) else ws.keep(found, "cut")
 
 
 def _largest_stratum(hashes: Kept) -> int:
@@ -228,9 +246,10 @@ def split_and_repair(
     seed: int,
     keys: Sequence[str],
     add_back: bool,
+    strata: int | None = None,
 ) -> Split:
-    """Draw a stratified hold-out and repair it."""
-    sides = stratified_split(ws, df, stratum, fraction, key, seed)
+    """Draw a stratified hold-out and repair it; ``strata`` bounds the number of strata, if that is known."""
+    sides = stratified_split(ws, df, stratum, fraction, key, seed, strata=strata)
     drawn = sides.where("held_out").drop("held_out")
     rest = sides.where("not held_out").drop("held_out")
     return Split(drawn, *repair_holdout(ws, rest, drawn, keys, add_back))

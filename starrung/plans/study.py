@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starrung.operators.split import Split, quartile_stratum, split_and_repair
+from starrung.operators.split import QUARTILE_STRATA, Split, quartile_stratum, split_and_repair
 from starrung.plans.ladder import COMPARED, MODELS, EffectLadder, LadderModel
 from starrung.sources.star import VIEW_LABELS, items_of, joined, ratings_of
 from starrung.workspace import Kept, Workspace
@@ -56,7 +56,7 @@ class Study:
     def _split(self, df: DataFrame, step: int, add_back: bool) -> Split:
         return split_and_repair(
             self.ws, df, quartile_stratum(self.ws, df, "rating"), self.fractions[step], [self.row_key],
-            self.seeds[step], KNOWN_KEYS, add_back,
+            self.seeds[step], KNOWN_KEYS, add_back, QUARTILE_STRATA,
         )
 
     @cached_property

@@ -142,6 +142,15 @@ class Workspace:
         df.write.partitionBy(*partition_by).parquet(path)
         return self._read(df.schema, path, partition_by)
 
+    def counted(self, df: DataFrame, name: str, partition_by: tuple[str, ...], **totals: Column) -> tuple[DataFrame, dict]:
+        """``table`` with sums that are observed while it is written, over the written columns."""
+        path = self.path(name)
+        seen = Observation()
+        sums = [column.alias(total) for total, column in totals.items()]
+        df.observe(seen, *sums).write.partitionBy(*partition_by).parquet(path)
+        back = self._read(df.schema, path, partition_by)
+        return back, _observed(seen) or back.agg(*sums).first().asDict()
+
     def keep(self, df: DataFrame, name: str, **totals: Column) -> Kept:
         """Write ``df`` once and measure it on the way; for tables that may be looked up.
 

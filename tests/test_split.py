@@ -25,12 +25,13 @@ def expected_split(data, fraction, seed):
     return held
 
 
+@pytest.mark.parametrize("strata", [None, 8])
 @pytest.mark.parametrize("ranked", [200_000, 3])
 @pytest.mark.parametrize("fraction", [0.1, 0.37, 1.0])
-def test_split_takes_the_first_hashes_of_every_stratum(spark, ws, ranked, fraction):
+def test_split_takes_the_first_hashes_of_every_stratum(spark, ws, strata, ranked, fraction):
     data = [(i, 0 if i % 3 == 0 else i % 7) for i in range(5000)] + [(9999, 77)]
     df = spark.createDataFrame(data, "key bigint, s int")
-    got = stratified_split(ws, df, F.col("s"), fraction, ["key"], 5, ranked_hashes=ranked)
+    got = stratified_split(ws, df, F.col("s"), fraction, ["key"], 5, ranked, strata)
     held = {r.key for r in got.where("held_out").collect()}
     assert held == expected_split(data, fraction, 5)
     assert got.count() == len(data)
@@ -55,13 +56,14 @@ def test_split_does_not_depend_on_partitioning(spark, ws):
     assert first == second
 
 
+@pytest.mark.parametrize("strata", [None, 1])
 @pytest.mark.parametrize("ranked", [200_000, 1])
-def test_copies_of_one_row_are_divided_exactly(spark, ws, ranked):
+def test_copies_of_one_row_are_divided_exactly(spark, ws, ranked, strata):
     """A third of all rows are equal, and others share their key but not their value."""
     data = [("hot", 0.0)] * 500 + [("same", float(i % 50)) for i in range(500)] + [(str(i), 1.0) for i in range(500)]
     df = spark.createDataFrame(data, "key string, v double")
     for fraction in (0.1, 0.5, 0.9):
-        got = stratified_split(ws, df, F.lit("all"), fraction, ["key"], 3, ranked_hashes=ranked)
+        got = stratified_split(ws, df, F.lit("all"), fraction, ["key"], 3, ranked, strata)
         held = Counter((r.key, r.v) for r in got.where("held_out").collect())
         rest = Counter((r.key, r.v) for r in got.where("not held_out").collect())
         assert sum(held.values()) == math.ceil(1500 * fraction)
