@@ -12,10 +12,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from math import fsum
 from operator import add
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from starrung.functions import MOVIE_LABELS, rating_year
 from starrung.functions.measures import check_na
@@ -23,7 +26,7 @@ from starrung.operators.binning import assign_bins, quantile_breaks
 from starrung.operators.effects import apply_effect, fit_effect_from_sums, label_effects, label_score
 from starrung.operators.joins import heavy_keys, is_small, lookup
 from starrung.plans.features import item_features
-from starrung.workspace import Kept, Workspace, measured
+from starrung.workspace import ROW_OVERHEAD, Kept, Workspace, measured
 
 
 @dataclass(frozen=True)
@@ -60,6 +63,9 @@ MODELS: dict[str, tuple[str, ...]] = {
 
 LABEL_SCHEMA = "position int, label string, flag int, effect double, n bigint"
 
+# Pairs of keys of two rungs that are fetched at most: labels, years and bins have few values each.
+FETCHED_PAIRS = 100_000
+
 # The models that are compared with each other.
 COMPARED = ("1", "2", "3", "4", "5", "6b", "7", "8")
 
@@ -189,10 +195,36 @@ class EffectLadder:
             .groupBy(*[rung.key for rung in RUNGS])
             .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
         )
-        return replace(model, breaks=breaks, residuals=ws.table(residuals, "residuals"))
+        return replace(model, breaks=breaks, residuals=residuals)
 
     def _fit_rungs(self, ws: Workspace, wanted: set[str], model: LadderModel) -> LadderModel:
-        """The remaining effects, each from the residual sums less the effects before it."""
+        """The remaining effects, each from the residual sums less the effects before it.
+
+        An effect needs of the earlier ones only how often their keys meet its own, so one grouping by pairs of
+        keys serves all rungs. If there are more pairs than ``FETCHED_PAIRS``, each effect is a grouping of its own.
+        """
+        missing = [rung for rung in RUNGS if rung.name in wanted and rung.name not in model.effects]
+        if not missing:
+            return model
+        pairs = _key_pairs(model.residuals, missing).limit(FETCHED_PAIRS + 1).collect()
+        if len(pairs) > FETCHED_PAIRS:
+            return self._fit_rungs_one_by_one(ws, wanted, model)
+        effects = dict(model.effects)
+        known = {rung.name: {None if row[0] is None else int(row[0]): row[1] for row in effects[rung.name].df.collect()}
+                 for rung in RUNGS if rung.name in effects and any(rung.name in later.after for later in missing)}
+        for rung in missing:
+            known[rung.name], counts = _effect_of_pairs([row for row in pairs if row.rung == rung.name], known)
+            key = model.residuals.schema[rung.key].dataType
+            short = pa.table([pa.array(counts, pa.int64()).cast(to_arrow_type(key)),
+                              pa.array(known[rung.name].values(), pa.float64()), pa.array(counts.values(), pa.int64())],
+                             [rung.key, f"effect_{rung.name}", "n"])
+            df = ws.spark.createDataFrame(short, f"{rung.key} {key.simpleString()}, effect_{rung.name} double, n bigint")
+            nulls = frozenset([rung.key] if None in counts else [])
+            effects[rung.name] = Kept(df, len(counts), len(counts) * (ROW_OVERHEAD + 24), nulls)
+        return replace(model, effects=effects)
+
+    def _fit_rungs_one_by_one(self, ws: Workspace, wanted: set[str], model: LadderModel) -> LadderModel:
+        """The same effects by one grouping and one lookup for each."""
         effects, left = dict(model.effects), model.residuals
         for rung in RUNGS:
             if rung.name not in wanted:
@@ -207,6 +239,33 @@ class EffectLadder:
         return replace(model, effects=effects)
 
 
+def _key_pairs(residuals: DataFrame, rungs: Sequence[Rung]) -> DataFrame:
+    """``rung, key, earlier, other, total, n``: residual sums per key of a rung (``earlier`` is NULL), and
+    rows per pair of its key and that of an earlier rung, each as whole numbers."""
+    keys = {rung.name: rung.key for rung in RUNGS}
+    none = F.lit(None)
+    wanted = [
+        F.struct(
+            F.lit(rung.name).alias("rung"), F.col(rung.key).cast("bigint").alias("key"),
+            (none if name is None else F.lit(name)).cast("string").alias("earlier"),
+            (none if name is None else F.col(keys[name])).cast("bigint").alias("other"),
+        )
+        for rung in rungs for name in (None, *[name for name in rung.after if name in keys])
+    ]
+    spread = residuals.select("total", "n", F.inline(F.array(*wanted)))
+    return spread.groupBy("rung", "key", "earlier", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def _effect_of_pairs(pairs: Sequence[Row], known: dict[str, dict]) -> tuple[dict, dict]:
+    """Mean residual per key of one rung, and its rows per key, from its ``_key_pairs``."""
+    counts = {row.key: row.n for row in pairs if row.earlier is None}
+    parts: dict = {row.key: [row.total] for row in pairs if row.earlier is None}
+    for row in pairs:
+        if row.earlier is not None:
+            parts[row.key].append(-row.n * known[row.earlier][row.other])
+    return {key: fsum(part) / counts[key] for key, part in parts.items()}, counts
+
+
 @dataclass(frozen=True)
 class LadderModel:
     """A fitted ladder: the mean, one table per effect, label effects and score breaks."""

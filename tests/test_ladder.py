@@ -8,6 +8,7 @@ from starrung import EffectLadder, LadderModel
 from starrung.functions import rmse
 from starrung.operators import joins
 from starrung.operators.effects import apply_effect, fit_effect
+from starrung.plans import ladder
 from starrung.plans.features import rating_features
 from starrung.plans.ladder import COMPARED, MODELS, RUNGS
 from starrung.sources.star import VIEW_LABELS
@@ -185,3 +186,20 @@ def test_fit_passes_over_the_ratings(dense, monkeypatch):
     dense.ladder.fit(dense.ws, dense.inner.train, dense.features)
     assert seen[:2] == [("item_id",), ("user_id",)]
     assert len(seen) <= 8
+
+
+def test_effects_from_pairs_of_keys_equal_those_fitted_one_by_one(dense, monkeypatch):
+    """Also where a fit with some of the effects is extended by the others."""
+    def fitted(start=None):
+        model = dense.ladder.fit(dense.ws, dense.inner.train, dense.features, start=start)
+        return {rung.name: {r[0]: tuple(r[1:]) for r in model.effects[rung.name].df.collect()} for rung in RUNGS}
+
+    at_once = fitted()
+    extended = fitted(dense.ladder.fit(dense.ws, dense.inner.train, dense.features, ["5"]))
+    monkeypatch.setattr(ladder, "FETCHED_PAIRS", 0)
+    one_by_one = fitted()
+    for other in (at_once, extended):
+        for name, effects in one_by_one.items():
+            assert set(other[name]) == set(effects)
+            for key, (effect, n) in effects.items():
+                assert other[name][key] == (pytest.approx(effect, abs=1e-9), n)
