@@ -259,6 +259,14 @@ def _r6(expression: str) -> str:
     return f"round(round({expression}, 12), 6) + 0.0"
 
 
+# Six significant digits of each error, and the decimals that show them without zeros at the end.
+DISPLAY_FROM = """errors as ({errors}),
+places as (
+    select model, title, rmse, length(rtrim(replace(split_part(printf('%.5e', rmse), 'e', 1), '.', ''), '0')) - 1
+           - cast(split_part(printf('%.5e', rmse), 'e', 2) as integer) as decimals from errors
+)"""
+
+
 def _rmse(model: str) -> str:
     return (
         f"case when count(p{model}) = count(*) then {_r6(f'sqrt(avg((rating - p{model}) * (rating - p{model})))')} end"
@@ -423,6 +431,11 @@ select "group", count(*) as count from tr4 where "group" is not null group by 1
         "rmse_table": _with(*ladder, select="\nunion all ".join(
             f"select '{m}' as model, '{MODEL_TITLES[m]}' as title, {_rmse(m)} as rmse from scored"
             for m in ("1", "2", "3", "4", "5", "6b", "7", "8"))),
+        "rmse_display": _with(*ladder, DISPLAY_FROM.format(errors="\nunion all ".join(
+            f"select '{m}' as model, '{MODEL_TITLES[m]}' as title, case when count(p{m}) = count(*) "
+            f"then round(sqrt(avg((rating - p{m}) * (rating - p{m}))), 12) end as rmse from scored"
+            for m in ("1", "2", "3", "4", "5", "6b", "7", "8"))), select=(
+                "select model, title, printf('%.' || greatest(0, max(decimals) over ()) || 'f', rmse) as rmse from places")),
         "rmse_skip": _with(*sparse_inner, KNOWN, select="\nunion all ".join(
             f"select '{m}' as model, {_known_rmse(m)} as rmse, count(p{m}) as scored from known" for m in "123")),
         "rmse_unrepaired": _with(*sparse_inner, KNOWN, select="\nunion all ".join(

@@ -1,4 +1,4 @@
-"""Aggregates that can let a missing value through instead of skipping it."""
+"""Aggregates that can let a missing value through instead of skipping it, and numbers as they are displayed."""
 
 from __future__ import annotations
 
@@ -35,3 +35,14 @@ def rmse(actual: Column, predicted: Column, na: str = "propagate") -> Column:
     """Root mean squared error; ``predicted`` may be a column or a literal."""
     error = actual - predicted
     return all_present(error, F.sqrt(F.avg(error * error)), na)
+
+
+def decimals_of(value: Column, digits: int) -> Column:
+    """Decimals that show a number with ``digits`` significant digits, without zeros at the end; 0 for NULL and NaN."""
+    size = F.abs(value)
+    # Rounded by the format, so that 9.999996 counts as 10.
+    shown = F.format_string(f"%.{digits - 1}e", size)
+    mantissa = F.length(F.rtrim(F.translate(F.substring_index(shown, "e", 1), ".", ""), F.lit("0")))
+    power = F.substring_index(shown, "e", -1).cast("int")
+    finite = (size > 0) & (size < F.lit(float("inf"))) & ~F.isnan(size)
+    return F.when(finite, F.greatest(F.lit(0), mantissa - 1 - power)).otherwise(0)

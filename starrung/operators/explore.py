@@ -7,9 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starrung.functions.labels import split_labels
-from starrung.functions.measures import max_of, min_of
+from starrung.functions.measures import decimals_of, max_of, min_of
 from starrung.operators.joins import semi_join
 from starrung.operators.split import hash_order, sample_keys
 from starrung.workspace import Workspace
@@ -96,3 +97,19 @@ def wide_matrix(
         raise ValueError(f"the rows have more than {most} columns")
     matrix = sparse_matrix(chosen, row, column, value, values)
     return matrix.toDF(row, *[f"pick_{i}" for i in range(1, len(values) + 1)])
+
+
+def displayed(ws: Workspace, df: DataFrame, digits: int = 6) -> DataFrame:
+    """A short result table with its floating-point columns as text, as a printed table shows them.
+
+    A column has one number of decimals: as many as its values need to show ``digits`` significant digits each,
+    without zeros that all of them end in. NULL stays NULL, NaN and infinite values are named.
+    """
+    table = ws.few(df, "displayed").df
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not numbers:
+        return table
+    most = table.agg(*[F.max(decimals_of(F.col(f"`{c}`"), digits)).alias(c) for c in numbers]).first().asDict()
+    # format_string would write NULL as a word.
+    return table.withColumns({c: F.when(F.col(f"`{c}`").isNotNull(), F.format_string(f"%.{most[c] or 0}f", F.col(f"`{c}`")))
+                              for c in numbers})

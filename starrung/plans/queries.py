@@ -16,6 +16,7 @@ from starrung.operators.binning import histogram
 from starrung.operators.effects import apply_effect, fit_effect, global_mean
 from starrung.operators.explore import (
     count_per_key,
+    displayed,
     distinct_counts,
     frequencies,
     label_vocabulary,
@@ -35,6 +36,7 @@ from starrung.workspace import hadoop_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF_YEAR = 2020
+DISPLAY_DIGITS = 6
 
 
 def _round(value: Column | str) -> Column:
@@ -380,6 +382,13 @@ def q_rmse_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _study(spark, sf_dir).compare().select("model", "title", _round("rmse").alias("rmse"))
 
 
+def q_rmse_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of errors as it is printed, by significant digits."""
+    study = _study(spark, sf_dir)
+    compared = study.compare().select("model", "title", F.round("rmse", 12).alias("rmse"))
+    return displayed(study.ws, compared, DISPLAY_DIGITS)
+
+
 def _rmse_unrepaired(spark: SparkSession, sf_dir: str, na: str) -> DataFrame:
     """Errors on a hold-out as it was drawn: some of its users and items are not in train, so their effects are unknown."""
     study = _study(spark, sf_dir, sparse=True)

@@ -3,6 +3,7 @@ from conftest import rows
 
 from starrung.operators.explore import (
     count_per_key,
+    displayed,
     distinct_counts,
     frequencies,
     label_vocabulary,
@@ -65,3 +66,18 @@ def test_sparse_sample(ws, df):
     got = sparse_sample(ws, df, "user_id", "item_id", "rating", rows=3, columns=2, seed=1)
     assert got.columns == ["user_id", "pick_1", "pick_2"]
     assert got.count() == 3
+
+
+@pytest.mark.parametrize("values, shown", [
+    ([1.0612345, 0.94321449, None], ["1.061235", "0.943214", None]),
+    ([1.5, 0.25, 100.0], ["1.50", "0.25", "100.00"]),
+    ([9.9999996, 3.0], ["10", "3"]),
+    ([123456789.0, 0.0, -2.5], ["123456789.0", "0.0", "-2.5"]),
+    ([None, float("nan")], [None, "NaN"]),
+])
+def test_displayed_by_significant_digits(spark, ws, values, shown):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = displayed(ws, df)
+    assert got.dtypes == [("i", "int"), ("x", "string")]
+    assert [r.x for r in got.orderBy("i").collect()] == shown
+    assert displayed(ws, df.limit(0)).collect() == [] and displayed(ws, df.select("i")).count() == len(values)
