@@ -62,16 +62,27 @@ def hadoop_path(spark: SparkSession, path: str):
     return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of one value in Spark's row format; numbers of fixed width take a word each, whatever their type."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(8)
+    if isinstance(kind, T.ArrayType):
+        items = kind.elementType
+        if isinstance(items, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            held = F.aggregate(value, F.lit(0).cast("long"), lambda upto, item: upto + _value_bytes(item, items))
+            return F.coalesce(held, F.lit(0)) + F.lit(16)
+        return F.greatest(F.size(value), F.lit(0)).cast("long") * _value_bytes(F.lit(0), items) + F.lit(16)
+    if isinstance(kind, T.MapType):
+        keys = _value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return reduce(add, [_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields], F.lit(16))
+    return F.lit(24 if isinstance(kind, T.DecimalType) and kind.precision > 18 else 8)
+
+
 def row_bytes(df: DataFrame) -> Column:
-    """Size one row takes in a broadcast relation, as a column."""
-    parts: list[Column] = []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + F.lit(8))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(f"`{field.name}`"))), F.lit(0)) * 2)
-        else:
-            parts.append(F.lit(8))
+    """Size one row takes in a broadcast relation, as a column; lists and structs by their lengths, without rendering them."""
+    parts = [_value_bytes(F.col(f"`{field.name}`"), field.dataType) for field in df.schema.fields]
     return reduce(add, parts, F.lit(ROW_OVERHEAD)).cast("long")
 
 

@@ -159,3 +159,36 @@ def test_sizes_are_computed_if_their_event_is_lost(spark, monkeypatch):
 
 def test_workspace_uses_the_folder_of_the_session(spark):
     assert Workspace(spark).root.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_row_size_of_lists_structs_and_maps(spark):
+    """By lengths, with what is missing or empty as the least."""
+    df = spark.createDataFrame(
+        [([1, 2, 3], ["ab", None, "é"], (1, "xyz"), [(5, [1, 2])], {"k": 1}, [[1], [], None]),
+         ([], [], (None, None), [], {}, []),
+         (None, None, None, None, None, None)],
+        "a array<bigint>, b array<string>, c struct<x:int,y:string>, d array<struct<n:int,t:array<bigint>>>, "
+        "e map<string,int>, f array<array<int>>")
+    size = {c: [r[0] for r in df.select(workspace.row_bytes(df.select(c)) - workspace.ROW_OVERHEAD).collect()] for c in df.columns}
+    assert size == {
+        "a": [16 + 24, 16, 16],
+        "b": [16 + 10 + 8 + 10, 16, 16],
+        "c": [16 + 8 + 11, 16 + 8 + 8, 16 + 8 + 8],
+        "d": [16 + (16 + 8 + 32), 16, 16],
+        "e": [16 + 9 + 16 + 8, 32, 32],
+        "f": [16 + 24 + 16 + 16, 16, 16],
+    }
+    plan = df.select(workspace.row_bytes(df))._jdf.queryExecution().executedPlan().toString()
+    assert "to_json" not in plan and "structstojson" not in plan.lower()
+
+
+def test_row_size_without_ansi_and_of_wide_numbers(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # the size of a missing list is -1 there
+    try:
+        df = spark.createDataFrame([(None,), ([1.5],)], "a array<double>")
+        assert sorted(r[0] for r in df.select(workspace.row_bytes(df)).collect()) == [workspace.ROW_OVERHEAD + 16, workspace.ROW_OVERHEAD + 24]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    wide = spark.range(1).select(F.lit(1).cast("decimal(38,2)").alias("d"), F.lit(1).cast("decimal(9,2)").alias("s"))
+    assert wide.select(workspace.row_bytes(wide)).first()[0] == workspace.ROW_OVERHEAD + 24 + 8
