@@ -1,6 +1,11 @@
-from conftest import rows
+import re
+
+import pytest
+from conftest import DATA, rows
+from pyspark.sql import functions as F
 
 from starrung.sources import describe_schema, joined, malformed_ratings, read_items, read_ratings
+from starrung.sources.star import ratings_of
 
 
 def test_read_ratings(spark, tmp_path):
@@ -40,3 +45,42 @@ def test_malformed_ratings_are_told(spark, tmp_path):
     path = tmp_path / "ratings.dat"
     path.write_text("1::2::3.5::100\n1::x::3.5::100\n1::2::3\n1::2::3::4::5\n\n-1::2::0::0\n")
     assert rows(malformed_ratings(spark, str(path))) == [("",), ("1::2::3",), ("1::2::3::4::5",), ("1::x::3.5::100",)]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins are sorted, and what is skewed is told from tables of some kilobytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.files.maxPartitionBytes": "32k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_an_order_with_a_third_of_all_lines_is_split(spark, tmp_path, shuffled_joins):
+    """The join with the orders deals the lines of one order to several tasks, and loses none."""
+    lines, orders = (spark.read.parquet(f"{DATA}/{name}.parquet") for name in ("lineitem", "orders"))
+    one = orders.agg(F.min("o_orderkey")).first()[0]
+    hot = F.when(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0, F.lit(one)).otherwise(F.col("l_orderkey"))
+    lines = lines.withColumn("l_orderkey", hot.cast(lines.schema["l_orderkey"].dataType))
+    lines.repartition(16).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    got = ratings_of(spark, str(tmp_path), sparse=True)
+    counts = {r["user_id"]: r["count"] for r in got.groupBy("user_id").count().collect()}
+    written = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    assert counts == {r["l_orderkey"]: r["count"] for r in written.groupBy("l_orderkey").count().collect()}
+    assert counts[one] > written.count() / 4
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin\(skew=true\)", plan)
+    assert "Python" not in plan
