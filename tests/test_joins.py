@@ -116,6 +116,66 @@ def test_a_local_folder_is_refused_on_a_cluster(tmp_path):
         workspace._is_local = original
 
 
+class OnCluster:
+    """The session under the name of a cluster's master, with settings of its own; of its ranges ``lost`` rows get lost."""
+
+    def __init__(self, spark, conf, lost=0):
+        class Java:
+            def sc(self):
+                return self
+
+            def getCheckpointDir(self):  # none is set
+                return self
+
+            def isDefined(self):
+                return False
+
+            def hadoopConfiguration(self):
+                return spark.sparkContext._jsc.hadoopConfiguration()
+
+        class Context:
+            master, _jsc = "spark://somewhere:7077", Java()
+
+            def __getattr__(self, name):
+                return getattr(spark.sparkContext, name)
+
+        self.spark, self.conf, self.lost, self.tried, self.sparkContext = spark, conf, lost, 0, Context()
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+    def range(self, start, end, step, parts):
+        self.tried += 1
+        return self.spark.range(start, end - self.lost, step, parts)
+
+
+def test_a_folder_that_all_executors_see_is_used_on_a_cluster(spark, tmp_path):
+    session = OnCluster(spark, {"spark.checkpoint.dir": f"file://{tmp_path}/"})
+    assert [workspace.shared_root(session) for _ in range(2)] == [f"file://{tmp_path}"] * 2
+    assert session.tried == 1 and not list(tmp_path.iterdir())
+    with Workspace(session) as ws:
+        assert ws.keep(spark.range(10), "t").df.count() == 10
+
+
+def test_the_warehouse_is_used_on_a_cluster_without_a_checkpoint_folder(spark, tmp_path):
+    assert workspace.shared_root(OnCluster(spark, {"spark.sql.warehouse.dir": f"file://{tmp_path}"})) == f"file://{tmp_path}"
+    assert workspace.shared_root(OnCluster(spark, {"spark.sql.warehouse.dir": "viewfs://there/tables",
+                                                   "spark.starrung.sharedMount": "true"})) == "viewfs://there/tables"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_root(OnCluster(spark, {}))
+
+
+def test_a_folder_in_which_rows_get_lost_is_refused_on_a_cluster(spark, tmp_path):
+    conf = {"spark.checkpoint.dir": f"file://{tmp_path}"}
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="not seen alike"):
+            workspace.shared_root(OnCluster(spark, conf, lost=1))
+    assert workspace.shared_root(OnCluster(spark, conf)) == f"file://{tmp_path}"
+    (tmp_path / "file").touch()
+    with pytest.raises(RuntimeError, match="not seen alike"):  # no folder can be made there
+        workspace.shared_root(OnCluster(spark, {"spark.checkpoint.dir": f"file://{tmp_path}/file"}))
+
+
 def test_chained_lookups_read_their_input_once_per_level(spark, ws, skewed, no_broadcast):
     rows_ = ws.table(skewed, "rows")
     kept = semi_join(ws, semi_join(ws, rows_, rows_.where("v < 2000"), "k"), rows_.where("v < 1000"), "v")
