@@ -176,6 +176,20 @@ def test_a_folder_in_which_rows_get_lost_is_refused_on_a_cluster(spark, tmp_path
         workspace.shared_root(OnCluster(spark, {"spark.checkpoint.dir": f"file://{tmp_path}/file"}))
 
 
+def test_a_store_that_only_the_session_knows(spark, tmp_path):
+    """Spark's readers and writers reach it, so a workspace does too."""
+    link = f"fs.viewfs.mounttable.{tmp_path.name.replace('_', '-')}.link./kept"
+    spark.conf.set(link, f"file://{tmp_path}")
+    try:
+        root = f"viewfs://{tmp_path.name.replace('_', '-')}/kept"
+        assert workspace.shared_root(OnCluster(spark, {"spark.checkpoint.dir": root})) == root
+        with Workspace(spark, root) as ws:
+            assert ws.keep(spark.range(10), "t").df.count() == 10 and ws.intact() and list(tmp_path.iterdir())
+        assert not list(tmp_path.iterdir())
+    finally:
+        spark.conf.unset(link)
+
+
 def test_chained_lookups_read_their_input_once_per_level(spark, ws, skewed, no_broadcast):
     rows_ = ws.table(skewed, "rows")
     kept = semi_join(ws, semi_join(ws, rows_, rows_.where("v < 2000"), "k"), rows_.where("v < 1000"), "v")
